@@ -20,14 +20,21 @@ from pyspark.sql import functions as F
 from skein.llm import common
 
 ASK = "chunk int, shard int, keys binary, extra binary"
-CHUNKS_PER_PART = 3
+#: Stored bytes of the documents for each chunk and each shard, and how many there are of each at least.
+CHUNK_BYTES, SHARD_BYTES = 5 << 19, 8 << 20
+CHUNKS, SHARDS = 16, 8
 
 
 def deal(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Documents with their chunk, dealt out by it; and the number of shards."""
-    n = common.parts(docs)
-    chunk = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(n * CHUNKS_PER_PART)).cast("int")
-    return docs.withColumn("chunk", chunk).repartition(n, "chunk"), n
+    """Documents with their chunk, dealt out by it; and the number of shards.
+
+    Both numbers follow the size of the input, whatever the number of partitions: rows between chunks and shards
+    are at most their product, and at most the number of keys.
+    """
+    size = common.size_bytes(docs)
+    chunks, shards = CHUNKS + size // CHUNK_BYTES, SHARDS + size // SHARD_BYTES
+    chunk = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks)).cast("int")
+    return docs.withColumn("chunk", chunk).repartition(common.parts(docs), "chunk"), int(shards)
 
 
 def ask(dealt: DataFrame, fn: Callable, answers: DataFrame | None = None) -> DataFrame:
@@ -53,7 +60,8 @@ def answer(asked: DataFrame, fn: Callable, n: int) -> DataFrame:
         out = fn(keys, extra)
         return pa.table({"chunk": t["chunk"], "shard": t["shard"], "keys": pa.array(out, pa.binary()), "extra": pa.nulls(len(keys), pa.binary())})
 
-    return asked.repartition(n, "shard").groupBy("shard").applyInArrow(run, ASK).repartition(n, "chunk")
+    parts = max(n, int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return asked.repartition(parts, "shard").groupBy("shard").applyInArrow(run, ASK).repartition(parts, "chunk")
 
 
 def shard_of(keys: np.ndarray, n: int) -> np.ndarray:
