@@ -176,6 +176,11 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int
     return out
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after another."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 def shingles(data: np.ndarray, off: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct k-word shingles of lower-cased documents, sorted by document and hash: (document, hash).
 

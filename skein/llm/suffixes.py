@@ -11,12 +11,14 @@ from skein.llm import common, rounds
 LENGTH = 50
 #: Bytes of the strings by which equal windows meet; every window holds one, and equal windows the same.
 ANCHOR = 24
-#: Mean number of windows of a coarse run (a power of two), and the bytes that decide where one begins.
-COARSE, COARSE_KEY = 256, 16
+#: A coarse run has a mean of 2 to the COARSE_BITS windows; COARSE_KEY bytes decide where one begins.
+COARSE_BITS, COARSE_KEY = 8, 16
+#: Bytes handled at once; temporaries of eight times as many should fit a core's cache.
+STRETCH = 1 << 17
 #: Chunks that must hold an anchor before its windows are dealt out one by one.
 COMMON = 128
 #: Bytes of the texts that one transform covers, unless one anchor has more.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: A null doc_id comes after all others.
 LAST = np.iinfo(np.int64).max
 
@@ -24,7 +26,7 @@ _U = np.uint64
 
 
 class _Chunk:
-    """The packed documents of a chunk, and its windows in slabs."""
+    """The packed documents of a chunk."""
 
     def __init__(self, t: pa.Table, length: int):
         self.t, self.length = rounds.ordered(t), length
@@ -32,44 +34,61 @@ class _Chunk:
         self.data, self.off = common.packed(self.t["text"])
         self.ids = self.t["doc_id"].combine_chunks().fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def slabs(self):
-        """For each slab its first byte, its bytes with those of the last windows, and the starts of whole windows."""
-        for i, j in common.slabs(self.off):
-            for a in range(int(self.off[i]), int(self.off[j]), 2 * common.SLAB):
-                b = min(a + 2 * common.SLAB, int(self.off[j]))
-                end = min(b + self.length - 1, int(self.off[j]))
-                at = np.arange(a, b)
-                doc = np.searchsorted(self.off, at, "right") - 1
-                whole = at + self.length <= self.off[doc + 1]
-                yield a, self.data[a:end], np.flatnonzero(whole), doc[whole]
+    def owner(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.off, at, "right") - 1
 
     def coarse(self):
-        """Runs of windows between cuts that the content sets: (first window, last, document, hash, check) of all slabs."""
+        """Runs of windows between cuts that the content sets: (first window, last, document, hash, check, -)."""
         out = []
-        for a, x, start, doc in self.slabs():
-            pre = common.prefix(common._values(0)[x])
-            pre1 = common.prefix(common._values(1)[x], 1)
-            if not len(start):
-                continue
-            cut = (common.range_hash(pre, start, start + COARSE_KEY) & _U(COARSE - 1)) == 0
-            out.append(_runs(start, doc, np.cumsum(cut), pre, pre1, self.length, a))
-        return _joined(out)
-
-
-def _runs(start, doc, mark, pre, pre1, length, base):
-    """Runs of neighbouring windows of one mark."""
-    new = np.ones(len(start), bool)
-    new[1:] = (start[1:] != start[:-1] + 1) | (mark[1:] != mark[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(start)) - 1
-    lo, hi = start[first], start[last]
-    return lo + base, hi + base, doc[first], common.range_hash(pre, lo, hi + length), common.range_hash(pre1, lo, hi + length, 1), mark[first]
-
-
-def _joined(out):
+        for a, x, valid in _slabs(self.data, self.off, self.length):
+            pre, h = _grams(x, COARSE_KEY)
+            cut = (h[: len(valid)] >> _U(64 - COARSE_BITS)) == 0
+            lo, hi = _bounds(valid, cut)
+            out.append((lo + a, hi + a, *_hashes(x, lo, hi + self.length, pre), lo))
+        lo, hi, key, check, _ = _joined(out, 5)
+        return lo, hi, self.owner(lo), key, check
+
+
+def _slabs(data: np.ndarray, off: np.ndarray, length: int):
+    """Stretches of packed texts: the first byte, the bytes with those of the last windows, and which bytes start a window."""
+    for i, j in common.slabs(off, STRETCH):
+        for a in range(int(off[i]), int(off[j]), 2 * STRETCH):
+            b = min(a + 2 * STRETCH, int(off[j]))
+            valid = np.ones(b - a, bool)
+            for end in off[np.searchsorted(off, a, "right") : j + 1]:
+                valid[max(0, end - length + 1 - a) : max(0, end - a)] = False
+                if end >= b + length:
+                    break
+            if valid.any():
+                x = data[a : min(b + length - 1, int(off[j]))]
+                yield a, x, valid[: max(0, len(x) - length + 1)]
+
+
+def _grams(x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums, and polynomial hashes of all k-byte strings; only their high bits are well spread."""
+    pre = common.prefix(common._values(0)[x])
+    return pre, (pre[k:] - pre[:-k]) * common.powers(len(pre) - k)[1]
+
+
+def _bounds(valid: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last windows of the runs that start where ``cut`` says, or after a gap."""
+    start = valid & cut
+    start[0] = valid[0]
+    start[1:] |= valid[1:] & ~valid[:-1]
+    last = valid.copy()
+    last[:-1] &= ~valid[1:] | start[1:]
+    return np.flatnonzero(start), np.flatnonzero(last)
+
+
+def _hashes(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, pre: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each range of bytes; pre: the prefix sums of the first, if known."""
+    pre = common.prefix(common._values(0)[x]) if pre is None else pre
+    return common.range_hash(pre, lo, hi), common.range_hash(common.prefix(common._values(1)[x], 1), lo, hi, 1)
+
+
+def _joined(out, n):
     if not out:
-        z = np.zeros(0, np.int64)
-        return z, z, z, z.astype(np.uint64), z.astype(np.uint64), z
+        return tuple(np.zeros(0, np.int64 if i in (0, 1) else np.uint64) for i in range(n))
     return tuple(np.concatenate(c) for c in zip(*out))
 
 
@@ -90,7 +109,7 @@ def _first_of(key, check, doc):
 def _ask_coarse(length: int, n: int):
     def run(t: pa.Table, _) -> pa.Table:
         c = _Chunk(t, length)
-        *_, doc, key, check, _ = c.coarse()
+        _, _, doc, key, check = c.coarse()
         first, _ = _first_of(key, check, c.ids[doc])
         pair = np.empty(len(first), _COARSE)
         pair["key"], pair["check"], pair["doc"] = key[first], check[first], c.ids[doc[first]]
@@ -109,14 +128,19 @@ def _least(keys: list[bytes], _) -> list[bytes]:
     return [x.tobytes() for x in np.split(out, np.cumsum([len(g) for g in got])[:-1])]
 
 
-def _open(c: _Chunk, got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """By byte: windows that an earlier document's run settles, and those that are still open."""
-    lo, hi, doc, key, check, _ = c.coarse()
+def _open(c: _Chunk, got: pa.Table):
+    """Windows by byte that an earlier document's run settles; and first and last windows of the stretches that are open."""
+    lo, hi, doc, key, check = c.coarse()
     ids = c.ids[doc]
     _, number = _first_of(key, check, ids)
     least = np.frombuffer(rounds.joined(got), np.int64)
     settled = least[number] < ids if len(ids) else np.zeros(0, bool)
-    return _cover(len(c.data), lo[settled], hi[settled] + 1), _cover(len(c.data), lo[~settled], hi[~settled] + 1)
+    a, b = lo[~settled], hi[~settled]
+    new = np.ones(len(a), bool)
+    new[1:] = a[1:] != b[:-1] + 1
+    first = np.flatnonzero(new)
+    stretches = (a[first], b[np.append(first[1:], len(a)) - 1]) if len(a) else (a, b)
+    return _cover(len(c.data), lo[settled], hi[settled] + 1), stretches
 
 
 def _cover(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -126,30 +150,32 @@ def _cover(n: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _fine(c: _Chunk, is_open: np.ndarray):
+def _fine(c: _Chunk, stretches):
     """Runs of open windows with one anchor: first, last, document, hash, check, and the anchor's hash."""
+    first, last = stretches
+    size = last - first + c.length
+    off = np.concatenate(([0], np.cumsum(size)))
+    data = c.data[common.ranges(first, size)]
     out, k, width = [], ANCHOR, c.length - ANCHOR + 1
-    for a, x, start, doc in c.slabs():
-        keep = is_open[a + start]
-        start, doc = start[keep], doc[keep]
-        if not len(start):
-            continue
-        pre = common.prefix(common._values(0)[x])
-        at = np.arange(len(x) - k + 1)
-        h = common.range_hash(pre, at, at + k)
+    for a, x, valid in _slabs(data, off, c.length):
         place = max(1, int(len(x)).bit_length())
-        low = (h >> _U(place) << _U(place)) | at.astype(np.uint64)
+        pre, h = _grams(x, k)
+        low = (h >> _U(place) << _U(place)) | np.arange(len(h), dtype=np.uint64)
         have = 1
         while have * 2 <= width:
             low = np.minimum(low[:-have], low[have:])
             have *= 2
         if have < width:
             low = np.minimum(low[: len(low) - (width - have)], low[width - have :])
-        anchor = (low[start] & _U((1 << place) - 1)).astype(np.int64)
-        pre1 = common.prefix(common._values(1)[x], 1)
-        lo, hi, d, key, check, q = _runs(start, doc, anchor, pre, pre1, c.length, a)
-        out.append((lo, hi, d, key, check, h[q]))
-    return _joined(out)
+        low = low[: len(valid)]
+        cut = np.ones(len(valid), bool)
+        cut[1:] = low[1:] != low[:-1]
+        lo, hi = _bounds(valid, cut)
+        q = (low[lo] & _U((1 << place) - 1)).astype(np.int64)
+        out.append((lo + a, hi + a, *_hashes(x, lo, hi + c.length, pre), common.mix(h[q] ^ _U(0x94D049BB133111EB))))
+    lo, hi, key, check, anchor = _joined(out, 5)
+    back = (first - off[:-1])[np.searchsorted(off, lo, "right") - 1] if len(lo) else lo
+    return lo + back, hi + back, c.owner(lo + back), key, check, anchor
 
 
 def _ask_anchors(length: int, n: int):
@@ -157,7 +183,7 @@ def _ask_anchors(length: int, n: int):
         if not t.num_rows:
             return rounds.rows(0, iter(()))
         c = _Chunk(t, length)
-        anchors = np.unique(_fine(c, _open(c, got)[1])[-1].astype(np.uint64))
+        anchors = np.unique(_fine(c, _open(c, got)[1])[-1])
         cut, low = rounds.cuts(anchors, n), anchors.astype(np.uint32)
         return rounds.rows(c.chunk, ((i, low[a:b].tobytes(), None) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b))
 
@@ -174,9 +200,9 @@ def _held(keys: list[bytes], _) -> list[bytes]:
 
 def _doubtful(c: _Chunk, first: pa.Table, second: pa.Table):
     """Settled windows by byte, and the runs whose anchor other documents may hold; common anchors' windows singly."""
-    settled, is_open = _open(c, first)
-    lo, hi, doc, key, check, anchor = _fine(c, is_open)
-    anchors, number = np.unique(anchor.astype(np.uint64), return_inverse=True)
+    settled, stretches = _open(c, first)
+    lo, hi, doc, key, check, anchor = _fine(c, stretches)
+    anchors, number = np.unique(anchor, return_inverse=True)
     code = np.frombuffer(rounds.joined(second), np.uint8)
     if not len(lo):
         return settled, (lo, hi, doc, key, check, anchor)
@@ -190,20 +216,19 @@ def _doubtful(c: _Chunk, first: pa.Table, second: pa.Table):
     if wide.any():
         size = (hi - lo + 1)[wide]
         each = np.repeat(np.arange(len(size)), size)
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + lo[wide][each]
+        at = common.ranges(lo[wide], size)
         one, two = _window_hashes(c, at)
         run = [np.concatenate(z) for z in zip(run, (at, at, doc[wide][each], one, two, one))]
     return settled, tuple(run)
 
 
 def _window_hashes(c: _Chunk, at: np.ndarray):
+    """Two hashes of the windows at ascending places."""
     one, two = np.empty(len(at), np.uint64), np.empty(len(at), np.uint64)
-    for a, x, _, _ in c.slabs():
-        i, j = np.searchsorted(at, [a, a + len(x) - c.length + 1])
+    for a in range(0, len(c.data), STRETCH):
+        i, j = np.searchsorted(at, [a, a + STRETCH])
         if i < j:
-            for out, seed in ((one, 0), (two, 1)):
-                pre = common.prefix(common._values(seed)[x], seed)
-                out[i:j] = common.range_hash(pre, at[i:j] - a, at[i:j] - a + c.length, seed)
+            one[i:j], two[i:j] = _hashes(c.data[a : a + STRETCH + c.length], at[i:j] - a, at[i:j] - a + c.length)
     return one, two
 
 
@@ -213,7 +238,7 @@ _RUN = np.dtype([("anchor", "<u8"), ("key", "<u8"), ("doc", "<i8"), ("size", "<u
 def _distinct_runs(c: _Chunk, run):
     """Distinct runs sorted by anchor: first places, and each run's number."""
     lo, hi, doc, key, check, anchor = run
-    return _first_of(anchor.astype(np.uint64), key ^ check, c.ids[doc])
+    return _first_of(anchor, key ^ check, c.ids[doc])
 
 
 def _ask_runs(length: int, n: int):
@@ -230,7 +255,7 @@ def _ask_runs(length: int, n: int):
         cut = rounds.cuts(out["anchor"], n)
         ends = np.cumsum(np.concatenate(([0], out["size"].astype(np.int64))))
         text = np.empty(ends[-1], np.uint8)
-        at = np.arange(ends[-1]) - np.repeat(ends[:-1], out["size"]) + np.repeat(lo, out["size"])
+        at = common.ranges(lo, out["size"].astype(np.int64))
         text[:] = c.data[at]
         return rounds.rows(c.chunk, ((i, out[a:b].tobytes(), text[ends[a] : ends[b]].tobytes()) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if a < b))
 
@@ -263,13 +288,13 @@ def _settle(length: int):
                 own = todo[block == b]
                 pieces = [text[begin[i] : begin[i] + z] for i, z in zip(first[own], kind["size"][own])]
                 found = earliest(pieces, kind["doc"][own], length)
-                at = np.concatenate([np.arange(p, p + k) for p, k in zip(place[own], count[own])])
+                at = common.ranges(place[own], count[own])
                 least[at] = found
         out, ends = [], np.cumsum([len(g) for g in got])
         for a, b in zip(ends - [len(g) for g in got], ends):
             mine = number[a:b]
             size = count[mine]
-            at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(place[mine], size)
+            at = common.ranges(place[mine], size)
             out.append(np.uint32(len(mine)).tobytes() + size.astype(np.uint32).tobytes() + least[at].tobytes())
         return out
 
@@ -311,7 +336,7 @@ def common_prefixes(sym: np.ndarray, order: np.ndarray, place: np.ndarray, stop:
     for level in range(stop):
         size = right - left
         owner = np.repeat(np.arange(len(left)), size)
-        row = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + left[owner]
+        row = common.ranges(left, size)
         if level:
             live = before[row] > 0
             owner, row = owner[live], row[live]
@@ -339,13 +364,13 @@ def earliest(pieces: list[np.ndarray], docs: np.ndarray, length: int) -> np.ndar
     size = np.array([len(p) for p in pieces], np.int64)
     sym = np.zeros(size.sum() + len(size), np.uint16)
     begin = np.cumsum(size + 1) - size - 1
-    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin, size)
+    at = common.ranges(begin, size)
     sym[at] = np.concatenate(pieces).astype(np.uint16) + 1
     order, place = suffix_order(sym, length)
     shared = common_prefixes(sym, order, place, length)
     group = np.cumsum(shared[:-1] >= 0) - 1
     windows = size - length + 1
-    start = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(begin, windows)
+    start = common.ranges(begin, windows)
     own = group[place[start]]
     least = np.full(group[-1] + 1, LAST)
     np.minimum.at(least, own, np.repeat(docs, windows))

@@ -46,7 +46,7 @@ def subsequences(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     """For each shape of gapped subsequence: the places where one begins, its number and its weight."""
     sym = FOLD[data]
     stop = np.repeat(end, end - start)
-    at = np.concatenate([np.arange(a, b) for a, b in zip(start, end)]) if len(start) < 64 else _ranges(start, end)
+    at = common.ranges(start, end - start)
     for p, shape, weight in _SHAPES:
         i = at[at + shape[-1] < stop]
         number = np.zeros(len(i), np.int64)
@@ -58,11 +58,6 @@ def subsequences(data: np.ndarray, start: np.ndarray, end: np.ndarray):
         yield i[good], number[good] + _BASE[p], weight
 
 
-def _ranges(start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    size = end - start
-    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
-
-
 def scale(sizes: np.ndarray) -> np.ndarray:
     """The divisor of a word's features: the root of the sum of squared weights that a word of its length has."""
     sizes = np.minimum(sizes, 24)
