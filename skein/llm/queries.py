@@ -11,6 +11,7 @@ from skein.llm.common import table
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
+from skein.llm.mixing import score_language
 from skein.llm.neighbours import nearest
 from skein.llm.packing import pack_documents
 from skein.llm.private import find_private
@@ -37,6 +38,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_language_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_language(table(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_suffixes(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", _sha256("kept").alias("kept_sha256"))
 
@@ -63,7 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_nearest_neighbours, op2_line_dedup, op3_packing, op5_suffix_dedup, op6_jaccard_join, op7_decontamination, op8_substring_dedup, op9_private_data, op10_toxicity)}
+    return {f.__name__: f for f in (op1_nearest_neighbours, op2_line_dedup, op3_packing, op4_language_score, op5_suffix_dedup, op6_jaccard_join, op7_decontamination, op8_substring_dedup, op9_private_data, op10_toxicity)}
 
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
