@@ -46,7 +46,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("jaccard_join", jaccard_join), ("decontamination", decontamination), ("packing", packing)]
 
-#: SQL can express neither the classifier nor the tokenizer; tests compare the stages with brute force.
+#: SQL can express neither the classifier nor the tokenizer.  The tests cover the operators of the stages; run() has no brute-force test yet.
 ORACLE_SQL = None
 
 
