@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from skein.llm import jaccard
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
@@ -73,6 +74,29 @@ def test_jaccard(docs):
     assert got[4].component_id == got[8].component_id == 1 and got[2].component_id == 2 and got[3].n_shingles == 0 and got[None].component_id is None
 
 
+@pytest.mark.parametrize("block", [8, 1024])
+def test_jaccard_near_copies(spark, monkeypatch, block):
+    """A group of near copies at all distances from their original, and texts that share only a passage with it."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = np.random.default_rng(11)
+    texts = []
+    for i in range(90):
+        w = LONG.split()
+        for k in rng.choice(len(w), rng.integers(0, 6), replace=False):
+            w[k] = f"new{i}x{k}"
+        texts.append(" ".join(w if i % 6 else [f"own{i}x{k}" for k in range(60)] + w[20:80]))
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and label[a] != label[b]:
+                low, high = sorted((label[a], label[b]))
+                label = [low if x == high else x for x in label]
+    got = link_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == {i: (len(sets[i]), label[i]) for i in range(len(sets))}
+    assert 15 < len(set(label)) < 75
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=8).tolist()) for i in range(100)] + [(100, [0.0] * 8), (101, None), (102, [None] * 8), (103, [float("nan")] * 8), (104, [1.0, 2.0])]
