@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,6 +98,29 @@ def _mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
     return out
 
 
+def _terms(text: str) -> set[str]:
+    return {t.lower() for t in set(_TERM.findall(text))}
+
+
+def _places(text: str, wanted: frozenset[str] | None = None) -> list[tuple[str, int, int]]:
+    """Each occurrence of the terms (None: of all terms) that overlaps no base span: term, start, end."""
+    starts, ends = [], []
+    for a, b in sorted(s[1:] for s in base_spans(text)):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    out = []
+    for m in _TERM.finditer(text):
+        t, (a, b) = m.group().lower(), m.span()
+        if wanted is None or t in wanted:
+            i = bisect_left(starts, b) - 1
+            if i < 0 or ends[i] <= a:
+                out.append((t, a, b))
+    return out
+
+
 def _find(batches):
     for b in batches:
         cols: dict[str, list] = {k: [] for k in ("email", "ip", "card", "phone", "base", "lines", "mentions")}
@@ -144,11 +168,42 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(each, "term string").join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """row, terms: where any of the terms stands outside base spans, sorted; rows without one are left out."""
+    n = terms.count()
+    if n <= IN_MEMORY:
+        wanted = frozenset(r[0] for r in terms.collect())
+
+        def find(batches):
+            for b in batches:
+                rows, spans = [], []
+                for row, text in zip(b.column("row"), b.column("text")):
+                    text = text.as_py()
+                    if not wanted.isdisjoint(_terms(text)) and (found := _places(text, wanted)):
+                        rows.append(row.as_py())
+                        spans.append([{"start": x, "end": y} for _, x, y in found])
+                yield pa.record_batch({"row": pa.array(rows, pa.int64()), "terms": pa.array(spans, _SPANS)})
+
+        return docs.select("row", "text").mapInArrow(find, "row long, terms array<struct<start:int,end:int>>").dropDuplicates(["row"])
+
+    def each(batches):
+        for b in batches:
+            for row, text in zip(b.column("row").to_pylist(), b.column("text")):
+                found = _places(text.as_py())
+                yield pa.record_batch({"row": pa.array([row] * len(found), pa.int64()), **{k: pa.array([f[i] for f in found], t) for i, (k, t) in enumerate((("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())))}})
+
+    every = docs.select("row", "text").mapInArrow(each, "row long, term string, start int, end int").join(terms, "term", "left_semi")
+    return every.select("row", "start", "end").distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
+
+
 def find_private(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """Spans of personal data: doc_id, n_email, n_ip, n_card, n_phone, base, spans (strings kind:start:end, comma-joined).
 
-    Base spans come from patterns.  A term is added (kind ``term``) where it stands in the line of a base
-    value and, over the whole corpus, gives that value away: with probabilities counted over lines, its
+    Base spans come from patterns.  A term is added (kind ``term``) wherever it stands in the corpus outside base
+    spans, beside the value or not, if it gives a value away: with probabilities counted over lines, its
     pointwise mutual information with the value reaches ``threshold`` times the information of the value itself, in ``support``
     distinct lines or more, so that copies of one line are no evidence.
 
@@ -169,10 +224,8 @@ def find_private(docs: DataFrame, support: int = SUPPORT, threshold: float = THR
         told = often.join(entities, "entity").join(terms, "term")
         pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
         own = F.log(F.lit(float(total)) / F.col("n_entity"))
-        told = told.where(pmi >= threshold * own).select("entity", "term")
-        more = mentions.join(told, ["entity", "term"], "left_semi").select("row", "start", "end").distinct()
-        more = more.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
-        found = found.join(more, "row", "left")
+        told = common.checkpoint(told.where(pmi >= threshold * own).select("term").distinct())
+        found = found.join(term_spans(docs, told), "row", "left")
     else:
         found = found.withColumn("terms", F.lit(None).cast("array<struct<start:int,end:int>>"))
     added = F.array_join(F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string"))), ",")

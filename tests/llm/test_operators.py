@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from skein.llm import jaccard
+from skein.llm import jaccard, private
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
@@ -145,6 +145,16 @@ def test_private(docs):
     assert base_spans("a@b@c.d 4111 1111 1111 1111 +1 (988) 555-2485") == [("email", 2, 7), ("card", 8, 27), ("phone", 28, 45)]
 
 
+@pytest.mark.parametrize("in_memory", [100_000, 0])
+def test_private_terms_away_from_their_value(spark, monkeypatch, in_memory):
+    """A term that gives a value away is found in lines and documents without the value too, but not inside base spans."""
+    monkeypatch.setattr(private, "IN_MEMORY", in_memory)
+    texts = [f"line{i} Zorblax writes from z@example.com today {i}" for i in range(8)] + ["only Zorblax is here\nand ZORBLAX@mail.example.org\nzorblax", "nothing at all"] * 2
+    texts += [f"calm words today from line {i}" for i in range(200)]
+    got = {r.doc_id: r.spans for r in find_private(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert "term:6:13" in got[0] and got[8] == got[10] == "email:25:49,term:5:12,term:50:57" and got[9] == got[100] == ""
+
+
 def test_contained(spark, docs):
     items = spark.createDataFrame([(1, " ".join(f"WORD{i}" for i in range(10, 30))), (2, "none of these words is there at all"), (3, None), (4, "of other words")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in find_contained(docs, items).collect()}
