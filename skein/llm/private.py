@@ -69,9 +69,9 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-_MENTION = "entity long, term string, start int, end int, line long"
+_MENTION = "entity long, term string, line long, lead boolean"
 _FOUND = f"doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base string, n_lines long, mentions array<struct<{_MENTION.replace(' ', ':').replace(',:', ',')}>>"
-_MENTIONS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("line", pa.int64())]))
+_MENTIONS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("line", pa.int64()), ("lead", pa.bool_())]))
 
 
 def _hash(s: str) -> int:
@@ -81,7 +81,7 @@ def _hash(s: str) -> int:
 
 
 def _mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Each term beside each protected value of its line."""
+    """Each distinct term beside each protected value of its line, for every line; ``lead`` marks one of each line and value."""
     out, lines = [], {}
     for kind, a, b in spans:
         start = text.rfind("\n", 0, a) + 1
@@ -91,10 +91,8 @@ def _mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
         line = text[start : end if end >= 0 else len(text)]
         name = _hash(line)
         entities = sorted({_hash(f"{k}:{text[a:b].lower()}") for k, a, b in own})
-        for m in _TERM.finditer(line):
-            a, b = m.start() + start, m.end() + start
-            if all(b <= x or a >= y for _, x, y in own):
-                out += [{"entity": e, "term": m.group().lower(), "start": a, "end": b, "line": name} for e in entities]
+        free = sorted({m.group().lower() for m in _TERM.finditer(line) if all(m.end() + start <= x or m.start() + start >= y for _, x, y in own)})
+        out += [{"entity": e, "term": t, "line": name, "lead": not i} for i, t in enumerate(free) for e in entities]
     return out
 
 
@@ -153,7 +151,7 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
             for b in batches:
                 for text in b.column("text"):
                     for line in text.as_py().split("\n"):
-                        for t in wanted.intersection(_TERM.findall(line.lower())):
+                        for t in wanted.intersection(_terms(line)):
                             total[t] = total.get(t, 0) + 1
             yield pa.record_batch({"term": pa.array(list(total), pa.string()), "n": pa.array(list(total.values()), pa.int64())})
 
@@ -162,7 +160,7 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
     def each(batches):
         for b in batches:
             for text in b.column("text"):
-                words = [t for line in text.as_py().split("\n") for t in set(_TERM.findall(line.lower()))]
+                words = [t for line in text.as_py().split("\n") for t in _terms(line)]
                 yield pa.record_batch({"term": pa.array(words, pa.string())})
 
     return docs.select("text").mapInArrow(each, "term string").join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
@@ -203,7 +201,7 @@ def find_private(docs: DataFrame, support: int = SUPPORT, threshold: float = THR
     """Spans of personal data: doc_id, n_email, n_ip, n_card, n_phone, base, spans (strings kind:start:end, comma-joined).
 
     Base spans come from patterns.  A term is added (kind ``term``) wherever it stands in the corpus outside base
-    spans, beside the value or not, if it gives a value away: with probabilities counted over lines, its
+    spans, beside the value or not, if it gives a value away: with probabilities counted over all lines, repeated ones each, its
     pointwise mutual information with the value reaches ``threshold`` times the information of the value itself, in ``support``
     distinct lines or more, so that copies of one line are no evidence.
 
@@ -213,13 +211,13 @@ def find_private(docs: DataFrame, support: int = SUPPORT, threshold: float = THR
     common.prepare(docs.sparkSession)
     docs = common.texts(docs).withColumn("row", F.xxhash64("doc_id", "text"))
     found = common.checkpoint(docs.mapInArrow(_find, _FOUND))
-    mentions = found.select("row", F.explode("mentions").alias("m")).select("row", "m.*")
+    mentions = found.select(F.explode("mentions").alias("m")).select("m.*")
     n_lines = F.sum("n_lines")
-    often = mentions.groupBy("entity", "term").agg(F.countDistinct("line").alias("lines"), F.countDistinct("row", "line").alias("both")).where(F.col("lines") >= support)
+    often = mentions.groupBy("entity", "term").agg(F.countDistinct("line").alias("lines"), F.count("*").alias("both")).where(F.col("lines") >= support)
     often = common.checkpoint(often)
     if not often.isEmpty():
         total = found.agg(n_lines).first()[0]
-        entities = mentions.groupBy("entity").agg(F.countDistinct("row", "line").alias("n_entity"))
+        entities = mentions.groupBy("entity").agg(F.sum(F.col("lead").cast("long")).alias("n_entity"))
         terms = term_lines(docs, often.select("term").distinct()).withColumnRenamed("n", "n_term")
         told = often.join(entities, "entity").join(terms, "term")
         pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))

@@ -155,6 +155,14 @@ def test_private_terms_away_from_their_value(spark, monkeypatch, in_memory):
     assert "term:6:13" in got[0] and got[8] == got[10] == "email:25:49,term:5:12,term:50:57" and got[9] == got[100] == ""
 
 
+def test_private_counts_repeated_lines_alike(spark):
+    """Repeated lines and rows count in all parts of a term's information, so they do not hide it."""
+    texts = [(i, "\n".join([f"line{i} Zorblax writes from z@example.com"] * 40)) for i in range(6)] * 3
+    texts += [(i, f"calm words from line {i}") for i in range(100, 300)]
+    got = {r.doc_id: r.spans for r in find_private(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert "term:6:13" in got[0] and got[200] == ""
+
+
 def test_contained(spark, docs):
     items = spark.createDataFrame([(1, " ".join(f"WORD{i}" for i in range(10, 30))), (2, "none of these words is there at all"), (3, None), (4, "of other words")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in find_contained(docs, items).collect()}
