@@ -4,11 +4,13 @@ import math
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 
-from skein.llm import jaccard, private
+from skein.llm import jaccard, mixing, private, rounds
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
@@ -139,6 +141,46 @@ def test_language(docs):
     assert all(r.score < 0 for r in rows)
 
 
+def _trained(texts):
+    return [[w.encode().lower() + b" " for w in WORD.findall(t or "")] + [b"\n"] for i, t in texts if zlib.crc32(str(i if i is not None else "").encode()) % 5 != 1]
+
+
+def test_language_contexts_have_their_own_counts(spark):
+    """Every (word so far, code node) has the count of brute force, whatever shards the words are dealt to."""
+    rng = np.random.default_rng(3)
+    texts = [(i, " ".join("".join(rng.choice(list("abc"), rng.integers(1, 7))) for _ in range(30))) for i in range(60)] + TEXTS
+    dealt, _ = rounds.deal(spark.createDataFrame(texts, "doc_id long, text string"))
+    base = SimpleNamespace(value=mixing.basis(dealt, 5))
+    told = dealt.groupBy("chunk").applyInArrow(mixing._tell(base), rounds.ASK).toArrow()
+    assert len(set(told["shard"].to_pylist())) > 2
+    asked: dict[int, np.ndarray] = {}
+    shards = [mixing.Shard(base.value, told.filter(pc.equal(told["shard"], i))) for i in sorted(set(told["shard"].to_pylist()))]
+    for sh in shards:
+        for k, n in zip(sh.ask, np.concatenate([x[:, m].T for x, m in zip(sh.n, sh.asked)])[sh.order]):
+            asked[k] = asked.get(k, 0) + n
+    got = {}
+    for sh in shards:
+        sh.answered(np.array([asked[k] for k in sh.ask]))
+        for k, n in zip(sh.key[2], sh.n[2].T):
+            assert got.setdefault(k, tuple(n)) == tuple(n)
+    code, want = base.value.code, {}
+    for word in (w for ws in _trained(texts) for w in ws):
+        for j, b in enumerate(word):
+            for node, bit in zip(code.node[b, : code.size[b]], code.bit[b, : code.size[b]]):
+                want.setdefault((word[:j], node), [0, 0])[bit] += 1
+    assert Counter(n for n in got.values() if sum(n)) == Counter(map(tuple, want.values()))
+
+
+def test_language_statistics_cover_all_documents(spark):
+    """Code and number of tokens come from all training rows: beside a text of over 1 MiB, and all rows of one repeated id."""
+    texts = [(i, f"text {i} of many") for i in range(40)] + [(3, "x" * 300 + f" {i}") for i in range(450)] + [(j, "zq " * 400_000) for j in range(50, 52)]
+    dealt, _ = rounds.deal(spark.createDataFrame(texts, "doc_id long, text string"))
+    got = mixing.basis(dealt, 4)
+    words = [w for ws in _trained(texts) for w in ws]
+    want = mixing.huffman(np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256))
+    assert got.total == len(words) and np.array_equal(got.code.node, want.node) and np.array_equal(got.code.bit, want.bit)
+
+
 def test_private(docs):
     got = {r.doc_id: r for r in find_private(docs).collect()}
     assert (got[7].n_email, got[7].n_ip) == (1, 1) and got[2].spans == ""
