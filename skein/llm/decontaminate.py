@@ -25,12 +25,13 @@ def _grams(words: str, k: int) -> str:
 
 
 def item_shingles(items: DataFrame, k: int = WORDS) -> DataFrame:
-    """item_id, n (distinct shingles), grams (their hashes), size (words of one); items without words drop out."""
+    """item_id, n (distinct shingles), grams (their hashes); items without words drop out, rows of one item are pooled."""
     w = items.select("item_id", word_array(F.col("text")).alias("w")).where(F.size("w") > 0)
     size = F.least(F.size("w"), F.lit(k))
     chosen = F.expr(" ".join(["CASE", *(f"WHEN size(w) = {j} THEN {_grams('w', j)}" for j in range(1, k)), f"ELSE {_grams('w', k)} END"]))
     w = w.select("item_id", size.alias("size"), F.array_distinct(chosen).alias("grams"))
-    return w.select("item_id", "size", "grams", F.size("grams").cast("long").alias("n"))
+    w = w.groupBy("item_id").agg(F.collect_set("size").alias("sizes"), F.array_distinct(F.flatten(F.collect_list("grams"))).alias("grams"))
+    return w.select("item_id", "sizes", "grams", F.size("grams").cast("long").alias("n"))
 
 
 def item_sketches(shingled: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -59,13 +60,13 @@ def find_contained(docs: DataFrame, items: DataFrame, words: int = WORDS, percen
     when it stands somewhere in the document.
 
     Null and empty texts hold nothing, and items without words are never found.  Rows without doc_id or item_id take no part.
-    Rows of one doc_id or one item_id: equal pairs are reported once, and a document's rows are counted together.
+    Rows of one doc_id or one item_id: equal pairs are reported once, and the shingles of a document's or an item's rows are pooled.
     Other columns are not read, whatever their names.  Empty tables give an empty table.
     """
     docs = common.texts(docs).where("doc_id is not null")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shingled = item_shingles(items.where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")), words)
-    sizes = sorted({words, *(r[0] for r in shingled.select("size").where(F.col("size") < words).distinct().collect())})
+    shingled = item_shingles(items.where("item_id is not null").distinct(), words)
+    sizes = sorted({words, *(r[0] for r in shingled.select(F.explode("sizes").alias("size")).where(F.col("size") < words).distinct().collect())})
     pairs = _document_grams(docs, sizes).join(item_sketches(shingled, percent), "gram").select("doc_id", "item_id").distinct()
     pairs = common.checkpoint(pairs)
     suspects = docs.join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")

@@ -211,6 +211,14 @@ def test_contained(spark, docs):
     assert got == {(1, 1), (4, 1), (8, 1), (4, 4)}
 
 
+def test_contained_pools_the_rows_of_an_item(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(20)) for x in "ab")
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a + " between " + b)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, None), (7, a), (8, a), (8, b), (9, b), (9, b)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_item) for r in find_contained(docs, items).collect()}
+    assert got == {(1, 7, 16), (3, 7, 16), (3, 8, 32), (2, 9, 16), (3, 9, 16)}
+
+
 def test_toxicity(spark):
     docs = spark.createDataFrame([(i, f"a calm text number {i} " + ("you idiot" if i % 2 else "my friend") + f" word{i % 7}") for i in range(200)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
