@@ -6,7 +6,10 @@ The array code works on one ``uint8`` buffer that holds many documents end to en
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
+import uuid
 import zlib
 
 import numpy as np
@@ -33,8 +36,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Python workers get small batches: a batch of long documents must fit beside its temporaries."""
+    """Python workers get small batches, by rows and by bytes: a batch of long documents must fit beside its temporaries."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -55,10 +59,12 @@ def parts(df: DataFrame, each: int = 8 << 20) -> int:
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that the cluster shares; where none is set, as in tests, a new one."""
+    """The folder that the cluster shares; where none is set and the master is local, as in tests, a new one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         now = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if now.isEmpty() and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = now.get() if now.isDefined() else tempfile.mkdtemp(prefix="skein-")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(named)
@@ -71,6 +77,50 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _folder(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def ensure_folder(spark: SparkSession, *paths: str) -> None:
+    """Make folders that a partitioned write left out for want of rows."""
+    for p in paths:
+        fs, at = _folder(spark, p)
+        fs.mkdirs(at)
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Delete tables in the shared folder that nothing reads any more."""
+    for p in paths:
+        fs, at = _folder(spark, p)
+        fs.delete(at, True)
+
+
+class Scratch:
+    """Tables in the shared folder that cut the lineage, and are deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession, kind: str):
+        self.spark, self.folder, self.made = spark, f"{shared(spark)}/{kind}-{uuid.uuid4().hex}", {}
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{len(self.made)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.made[path] = out
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete these tables, and let Spark delete shuffle files that only finished jobs have read."""
+        delete(self.spark, *(p for p, df in self.made.items() if any(df is t for t in tables)))
+        release(self.spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files of finished jobs: Spark deletes them when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 # ---------------------------------------------------------------- packed text
 
 
@@ -91,6 +141,13 @@ def packed(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def slices(b: pa.RecordBatch, column: str, limit: int = SLAB):
+    """A batch in slices of about ``limit`` bytes of a text column: each with its bytes and boundaries."""
+    data, off = packed(b.column(column))
+    for i, j in slabs(off, limit):
+        yield b.slice(i, j - i), data[off[i] : off[j]], off[i : j + 1] - off[i]
+
+
 def slabs(off: np.ndarray, limit: int = SLAB):
     """Runs of whole documents of about ``limit`` bytes: pairs of document numbers."""
     a, n = 0, len(off) - 1

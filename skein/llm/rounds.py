@@ -37,6 +37,14 @@ def deal(docs: DataFrame) -> tuple[DataFrame, int]:
     return docs.withColumn("chunk", chunk).repartition(common.parts(docs), "chunk"), int(shards)
 
 
+def odd(n: int) -> int:
+    """The next prime, so that ids with a common step are dealt evenly."""
+    n = int(n)
+    while any(n % i == 0 for i in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
 def ask(dealt: DataFrame, fn: Callable, answers: DataFrame | None = None) -> DataFrame:
     """fn(documents of a chunk, answers to it or None) returns rows of ASK."""
     return _run(dealt, fn, ASK, answers)
