@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm import common
-from skein.llm.graph import components, merged
+from skein.llm.graph import components, merged, of_label
 from skein.llm.rounds import shard_of
 
 WORDS = 5
@@ -231,23 +231,18 @@ def _profiles(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _close(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Of pairs of set keys (a, b) those that sizes and profiles let link, with a document of each."""
+    """Of pairs of set keys (a, b) those that sizes and profiles let link."""
 
     def run(batches):
         for b in batches:
             far = _apart(_profiles(b.column("profile_a")), _profiles(b.column("profile_b")))
             size = b.column("n_a").to_numpy() + b.column("n_b").to_numpy()
-            yield b.filter(pa.array(far * (100 + percent) <= size * (100 - percent))).select(["a", "b", "rep_a", "rep_b"])
+            yield b.filter(pa.array(far * (100 + percent) <= size * (100 - percent))).select(["a", "b"])
 
-    own = named.select("key", "rep", "n_shingles", "profile")
-    pairs = pairs.join(own.toDF("a", "rep_a", "n_a", "profile_a"), "a").join(own.toDF("b", "rep_b", "n_b", "profile_b"), "b")
+    own = named.select("key", "n_shingles", "profile")
+    pairs = pairs.join(own.toDF("a", "n_a", "profile_a"), "a").join(own.toDF("b", "n_b", "profile_b"), "b")
     pairs = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    return pairs.mapInArrow(run, "a long, b long, rep_a struct<doc_id:long,row:long>, rep_b struct<doc_id:long,row:long>")
-
-
-def _texts(pairs: DataFrame, named: DataFrame) -> DataFrame:
-    own = named.select("key", "rep")
-    return pairs.join(own.toDF("a", "rep_a"), "a").join(own.toDF("b", "rep_b"), "b")
+    return pairs.mapInArrow(run, "a long, b long")
 
 
 def _cell(t: pa.Table, percent: int, nearest: bool):
@@ -304,8 +299,8 @@ def _across(members: DataFrame, labels: DataFrame, named: DataFrame, percent: in
     return members.repartition(shards, "shard").groupBy("shard").applyInArrow(run, "a long, b long").distinct()
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of pairs of set keys (a, b) those that link, counted on the texts of one document of each key (rep_a, rep_b)."""
+def _verify(pairs: DataFrame, text_of: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of pairs of set keys (a, b) those that link, counted on the texts of one document of each key."""
 
     def run(batches):
         for b in batches:
@@ -325,17 +320,16 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Data
                 linked = 100 * both >= percent * (size[0] + size[1] - both)
                 yield pa.record_batch([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(linked))
 
-    text = docs.select(F.struct("doc_id", "row").alias("rep"), "text")
-    pairs = pairs.select("a", "b", "rep_a", "rep_b").join(text.toDF("rep_a", "text_a"), "rep_a").join(text.toDF("rep_b", "text_b"), "rep_b")
+    pairs = pairs.select("a", "b").join(text_of.toDF("b", "text_b"), "b").join(text_of.toDF("a", "text_a"), "a")
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Link documents whose sets of distinct word shingles have a Jaccard similarity of ``percent`` or more.
 
-    Returns doc_id, n_shingles, set_key (documents with equal sets share it), component_id (the smallest doc_id that
-    links reach, its own included) and n_links (to other sets; a lower bound within large groups, where links that could
-    not change a component are not counted).
+    Returns doc_id, row (a hash of the text), n_shingles, set_key (documents with equal sets share it), component_key (linked sets share
+    it), component_id (the smallest doc_id that links reach, its own included) and n_links (to other sets; a lower bound within large
+    groups, where links that could not change a component are not counted).
 
     Sets fall into bands by size; a band hashes the universe of shingles into so many segments that of two
     linked sets at least one segment is equal or one deletion away, whichever radii the smaller one
@@ -345,41 +339,52 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     profiles do, so no link that joins components is missed, and only such pairs leave the blocks of a group.
 
     A-Z is lower-cased.  A text of fewer words than ``words`` has its whole sequence as its one shingle.  Null, empty and blank texts
-    have none and link with nothing.  Repeated rows share a component.  Rows without doc_id come back with their own null as component and
-    take no part.  Other columns are not read.  An empty table gives an empty table.
+    have none and link with nothing.  Very long texts are read whole.  Repeated rows share a component.  Rows without doc_id come back with
+    their own null as component and take no part.  Other columns are not read.  An empty table gives an empty table.
     """
-    common.prepare(docs.sparkSession)
+    spark = docs.sparkSession
+    common.prepare(spark)
+    scratch = common.Scratch(spark, "jaccard")
     docs = common.texts(docs).withColumn("row", F.xxhash64("text"))
     n = common.parts(docs)
-    summary = common.checkpoint(docs.mapInArrow(_summary(words), "doc_id long, row long, n_shingles long, key long, profile binary"))
+    summary = scratch.save(docs.mapInArrow(_summary(words), "doc_id long, row long, n_shingles long, key long, profile binary"))
     full = summary.where("doc_id is not null and n_shingles > 0")
-    named = common.checkpoint(full.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("profile").alias("profile")))
+    named = scratch.save(full.groupBy("key").agg(F.min(F.struct("doc_id", "row")).alias("rep"), F.max("n_shingles").alias("n_shingles"), F.max("profile").alias("profile")))
     docs = docs.where("doc_id is not null")
     index = docs.mapInArrow(_index(words, percent, n), "shard int, keys binary, signatures binary")
     met = index.repartition(n, "shard").groupBy("shard").applyInArrow(_meet, "kind int, a long, b long")
-    met = common.checkpoint(met.distinct())
+    met = scratch.save(met.distinct())
+    common.release(spark)
     stars = met.where("kind = 0").select("a", "b")
-    links = common.checkpoint(_verify(_close(stars, named, percent), docs, words, percent).distinct())
-    labels = components(links)
+    held = stars.select(F.col("a").alias("key")).union(stars.select("b")).union(met.where("kind > 0").select("b")).distinct()
+    reps = named.join(held, "key").select("key", "rep.doc_id", "rep.row")
+    # Repeated rows agree in doc_id and text; one of them is read.
+    text_of = scratch.save(docs.join(reps, ["doc_id", "row"]).groupBy("key").agg(F.first("text").alias("text")))
+    common.release(spark)
+    links = scratch.save(_verify(_close(stars, named, percent), text_of, words, percent).distinct())
+    labels = components(links, scratch)
 
     members = met.where("kind > 0").select(F.col("a").alias("gid"), F.col("b").alias("key"), (F.col("kind") - 1).alias("flags"))
     rows = members.groupBy("gid").count().agg(F.sum(F.col("count") * F.ceil(F.col("count") / BLOCK))).first()[0] or 0
-    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows // (8 * BLOCK) + 1)
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // (8 * BLOCK) + 1)
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for nearest in (True, False):
-        across = common.checkpoint(_across(members, labels, named, percent, nearest, shards).join(tried, ["a", "b"], "left_anti"))
+        across = scratch.save(_across(members, labels, named, percent, nearest, shards).join(tried, ["a", "b"], "left_anti"))
         if not across.isEmpty():
-            more = common.checkpoint(_verify(_texts(across, named), docs, words, percent))
+            more = scratch.save(_verify(across, text_of, words, percent))
             if not more.isEmpty():
-                links, labels = links.union(more), merged(labels, more)
+                links, labels = links.union(more), merged(labels, more, scratch)
         tried = tried.union(across)
+        common.release(spark)
+    scratch.drop(text_of)
 
     first = named.select("key", F.col("rep.doc_id").alias("doc_id"))
-    linked = labels.join(first, labels["node"] == first["key"]).select("key", "label", "doc_id")
+    linked = labels.join(first, labels["node"] == first["key"]).select("node", "label", "doc_id")
     least = linked.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     degree = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("n_links"))
-    found = first.join(linked.join(least, "label").select("key", "component_id"), "key", "left").join(degree, "key", "left")
-    found = common.checkpoint(found.select("key", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    found = first.join(of_label(linked.select("node", "label"), least, "label").withColumnRenamed("node", "key"), "key", "left").join(degree, "key", "left")
+    found = scratch.save(found.select("key", F.coalesce("label", "key").alias("component_key"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    scratch.drop(met, named)
     usable = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("key"))
-    out = summary.select("doc_id", "n_shingles", usable.alias("key")).join(found, "key", "left")
-    return out.select("doc_id", "n_shingles", F.col("key").alias("set_key"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    out = summary.select("doc_id", "row", "n_shingles", usable.alias("key")).join(found, "key", "left")
+    return out.select("doc_id", "row", "n_shingles", F.col("key").alias("set_key"), "component_key", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
