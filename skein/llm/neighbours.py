@@ -30,8 +30,13 @@ def usable(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
     return df.where(F.col("vec_id").isNotNull() & v.isNotNull() & ~odd & F.exists(v, lambda x: x != 0))
 
 
+def exponents(m: np.ndarray) -> np.ndarray:
+    """The power of two that is at least the largest component of each row."""
+    return np.frexp(np.abs(m).max(axis=1, initial=0))[1].astype(np.int64)
+
+
 def quantise(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """int8 codes, the scale of each row, and the length of what the codes miss."""
+    """int8 codes, the scale of each row, and the length of what the codes miss; components are below 1, as rows were divided by a power of two."""
     scale = np.abs(m).max(axis=1) / 127.0
     scale = np.where(scale > 0, scale, 1.0)
     codes = np.rint(m / scale[:, None]).astype(np.int8)
@@ -45,7 +50,8 @@ def _blocks(rows: int, side: int):
     def pack(tile, width, part):
         ids = np.array([i for i, _ in part], np.int64)
         m = np.array([v for _, v in part])
-        codes, scale, error = quantise(m.astype(np.float64))
+        wide = m.astype(np.float64)
+        codes, scale, error = quantise(np.ldexp(wide, -exponents(wide)[:, None]))
         return {"side": side, "tile": tile, "ids": ids.tobytes(), "codes": codes.tobytes(), "scales": scale.tobytes(), "errors": error.tobytes(), "vectors": m.tobytes(), "width": width}
 
     def run(batches):
@@ -89,13 +95,18 @@ def survivors(q, c, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a tile that may be among a query's k largest products, whatever the quantisation hides.
 
     The product of codes is exact in float32 as long as 127 * 127 * width is below 2 to the 24; wider tiles use float64.
+    Products are compared in units of the query's power of two and the tile's largest, so no bound overflows.
     """
     qi, qc, qs, qe, qv = q
     ci, cc, cs, ce, cv = c
     if qc.shape[1] > 1024:
         qc, cc = qc.astype(np.float64), cc.astype(np.float64)
+    of_q, of_c = exponents(qv), exponents(cv)
+    unit = np.ldexp(1.0, of_c - of_c.max(initial=0))
+    cs, ce = cs * unit, ce * unit
     near = (qc @ cc.T).astype(np.float64) * qs[:, None] * cs[None, :]
-    q_len, c_len = np.sqrt((qv * qv).sum(1)), np.sqrt((cv * cv).sum(1))
+    q_len = np.sqrt((np.ldexp(qv, -of_q[:, None]) ** 2).sum(1))
+    c_len = np.sqrt((np.ldexp(cv, -of_c[:, None]) ** 2).sum(1)) * unit
     slack = qe[:, None] * c_len[None, :] + (q_len + qe)[:, None] * ce[None, :]
     slack += 1e-12 * q_len[:, None] * c_len[None, :]
     low = near - slack
@@ -108,6 +119,17 @@ def survivors(q, c, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero((near + slack >= least[:, None]) & ~own)
 
 
+def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of rows, in double precision; where components' products overflow, of the rows divided by powers of two."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = (q * c).sum(axis=1)
+        odd = np.flatnonzero(~np.isfinite(out))
+        if len(odd):
+            of_q, of_c = exponents(q[odd]), exponents(c[odd])
+            out[odd] = np.ldexp((np.ldexp(q[odd], -of_q[:, None]) * np.ldexp(c[odd], -of_c[:, None])).sum(axis=1), of_q + of_c)
+    return out
+
+
 def best(q, c, k: int):
     """The k best of a tile for each query, products in double precision on the vectors: query row, ids, scores."""
     a, b = survivors(q, c, k)
@@ -116,7 +138,7 @@ def best(q, c, k: int):
     score = np.empty(len(a))
     for i in range(0, len(a), 1 << 16):
         s = slice(i, i + (1 << 16))
-        score[s] = (q[4][a[s]] * c[4][b[s]]).sum(axis=1)
+        score[s] = products(q[4][a[s]], c[4][b[s]])
     ids = c[0][b]
     order = np.lexsort((ids, -score, a))
     a, ids, score = a[order], ids[order], score[order]
@@ -127,14 +149,39 @@ def best(q, c, k: int):
             yield i, ids[s], score[s]
 
 
+class Heaps:
+    """The k best so far of each query of a tile: (minus score, vec_id), ascending."""
+
+    def __init__(self, q, k: int):
+        self.q, self.k = q, k
+        self.best: list[list[tuple[float, int]]] = [[] for _ in q[0]]
+
+    def meet(self, c) -> None:
+        for a in range(0, len(self.best), 512):
+            part = tuple(x[a : a + 512] for x in self.q)
+            for i, ids, score in best(part, c, self.k):
+                new = zip((-score).tolist(), ids.tolist())
+                old = self.best[a + i]
+                self.best[a + i] = heapq.nsmallest(self.k, heapq.merge(old, new)) if old else list(new)
+
+    def batch(self) -> pa.RecordBatch:
+        some = [i for i, x in enumerate(self.best) if x]
+        return pa.record_batch({
+            "query_id": pa.array(self.q[0][some]),
+            "ids": pa.array([[v for _, v in self.best[i]] for i in some], pa.list_(pa.int64())),
+            "scores": pa.array([[-s for s, _ in self.best[i]] for i in some], pa.list_(pa.float64())),
+        })
+
+
 def nearest(embeddings: DataFrame, queries: DataFrame, k: int = K, vector: str = "embedding") -> DataFrame:
     """The k nearest rows of ``embeddings`` by inner product for each row of ``queries``: query_id, rank, vec_id, score.
 
     Both sides are packed into tiles of int8 codes, floats beside them.  Every pair of a query tile and a group of candidate
     tiles meets in one task; the product of codes with the bounds of its error leaves few pairs, whose scores are computed
-    again on the vectors; heaps merge the tiles' lists.  Nothing is lost to the codes, so recall is 1.
+    again on the vectors and kept in one heap for each query of a task; heaps merge the tasks' lists.  Nothing is lost to the codes, so recall is 1.
 
     Vectors that are null, zero, or hold null or non-finite components take no part; vectors of different widths are never compared.
+    Components of any size may stand: a product beyond double precision is infinite, and ranks as such.
     A row is never its own neighbour: candidates with the query's vec_id are left out.  Of rows with one vec_id one stays (the
     least vector).  Ties go to the smaller vec_id.  Other columns are not read.  Empty tables give an empty table.
     """
@@ -153,30 +200,23 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = K, vector: str =
     down = tiles(c, TILE, 1, n).withColumn("column", F.pmod(F.floor(F.col("tile") / 4096), F.lit(n)).cast("int")).withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
     met = across.unionByName(down).repartition(n * query_parts, "row", "column").sortWithinPartitions("row", "column", "side", "tile")
 
-    def products(batches):
+    def meet(batches):
         at, held = None, []
         for b in batches:
             for row in b.to_pylist():
                 if (row["row"], row["column"]) != at:
+                    yield from (h.batch() for _, h in held)
                     at, held = (row["row"], row["column"]), []
                 if row["side"] == 0:
-                    held.append((row["width"], _open(row)))
+                    held.append((row["width"], Heaps(_open(row), k)))
                     continue
                 c = _open(row)
-                for width, q in held:
-                    if width != row["width"]:
-                        continue
-                    for i in range(0, len(q[0]), 512):
-                        part = tuple(x[i : i + 512] for x in q)
-                        got = list(best(part, c, k))
-                        if got:
-                            yield pa.record_batch({
-                                "query_id": pa.array(part[0][[g[0] for g in got]]),
-                                "ids": pa.array([g[1] for g in got], pa.list_(pa.int64())),
-                                "scores": pa.array([g[2] for g in got], pa.list_(pa.float64())),
-                            })
-
-    lists = met.mapInArrow(products, "query_id long, ids array<long>, scores array<double>")
+                for width, h in held:
+                    if width == row["width"]:
+                        h.meet(c)
+        yield from (h.batch() for _, h in held)
+
+    lists = met.mapInArrow(meet, "query_id long, ids array<long>, scores array<double>")
     lists = lists.repartition(n, "query_id").sortWithinPartitions("query_id")
 
     def merge(batches):
