@@ -35,15 +35,14 @@ def _byte_of_char() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """A function from a text to its ids, as the tokenizers library gives them without special tokens.
+    """A function from a text to its ids, as the tokenizers library gives them with add_special_tokens=False.
 
     A byte-level vocabulary whose ids are its merge ranks is handed to tiktoken, which finds the same ids several
-    times faster; any other, and any text on which tiktoken gives up, goes through tokenizers itself.
+    times faster; any other, any text that holds an added token, and any on which tiktoken gives up, goes through tokenizers itself.
     """
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
 
     def plain(text: str) -> np.ndarray:
         return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
@@ -60,11 +59,14 @@ def encoder(path: str):
     import tiktoken
     from public_tokenizers import PATTERN
 
-    special = {a["content"] for a in said.get("added_tokens", [])}
+    added = sorted(a["content"] for a in said.get("added_tokens", []))
+    special = set(added)
     ranks = {bytes(byte[c] for c in k): v for k, v in vocabulary.items() if k not in special}
     fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def quick(text: str) -> np.ndarray:
+        if any(a in text for a in added):
+            return plain(text)
         try:
             return np.array(fast.encode_ordinary(text), dtype=np.uint32)
         except Exception:  # noqa: BLE001  its regular expressions have a limit of their own
@@ -139,17 +141,16 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, length: int =
     tokenises its rows and packs them in groups of about ``group`` tokens, so nothing is shuffled.
 
     A null or empty text has the end id alone.  Repeated rows are packed each; a null doc_id stays null.  A very long
-    text fills sequences of its own.  Other columns are not read.  An empty table gives an empty table.
+    text fills sequences of its own.  Documents of one size go in the order of their rows, and sequences of one cost in that of their numbers.  Other columns are not read.  An empty table gives an empty table.
     """
     if length < 1 or length & (length - 1):
         raise ValueError("length must be a power of two")
     common.prepare(docs.sparkSession)
-    path = vocabulary or default_vocabulary()
 
     def run(batches):
         from pyspark import TaskContext
 
-        encode = encoder(path)
+        encode = encoder(vocabulary or default_vocabulary())
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 36
         ids: list[np.ndarray] = []
