@@ -69,9 +69,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-_MENTION = "entity long, term string, line long, lead boolean"
-_FOUND = f"doc_id long, row long, n_email long, n_ip long, n_card long, n_phone long, base string, n_lines long, mentions array<struct<{_MENTION.replace(' ', ':').replace(',:', ',')}>>"
-_MENTIONS = pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("line", pa.int64()), ("lead", pa.bool_())]))
+_LINES = "line long, entities array<long>, terms array<string>, n_lines long"
+_FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base string, spans string, redacted string"
 
 
 def _hash(s: str) -> int:
@@ -80,30 +79,27 @@ def _hash(s: str) -> int:
     return int.from_bytes(xxhash.xxh64_digest(s.encode()), "big", signed=True)
 
 
-def _mentions(text: str, spans: list[tuple[str, int, int]]) -> list[dict]:
-    """Each distinct term beside each protected value of its line, for every line; ``lead`` marks one of each line and value."""
-    out, lines = [], {}
-    for kind, a, b in spans:
-        start = text.rfind("\n", 0, a) + 1
-        lines.setdefault(start, []).append((kind, a, b))
+def lines_with_values(text: str):
+    """For each line that holds protected values: a hash of the line, the distinct values and the distinct terms outside of them."""
+    lines: dict[int, list[tuple[str, int, int]]] = {}
+    for kind, a, b in base_spans(text):
+        lines.setdefault(text.rfind("\n", 0, a) + 1, []).append((kind, a, b))
     for start, own in lines.items():
         end = text.find("\n", start)
         line = text[start : end if end >= 0 else len(text)]
-        name = _hash(line)
-        entities = sorted({_hash(f"{k}:{text[a:b].lower()}") for k, a, b in own})
-        free = sorted({m.group().lower() for m in _TERM.finditer(line) if all(m.end() + start <= x or m.start() + start >= y for _, x, y in own)})
-        out += [{"entity": e, "term": t, "line": name, "lead": not i} for i, t in enumerate(free) for e in entities]
-    return out
+        entities = {_hash(f"{k}:{text[a:b].lower()}") for k, a, b in own}
+        free = {t for t, _, _ in _places(line, None, [(k, a - start, b - start) for k, a, b in own])}
+        yield _hash(line), sorted(entities), sorted(free)
 
 
 def _terms(text: str) -> set[str]:
     return {t.lower() for t in set(_TERM.findall(text))}
 
 
-def _places(text: str, wanted: frozenset[str] | None = None) -> list[tuple[str, int, int]]:
+def _places(text: str, wanted: frozenset[str] | None = None, spans: list[tuple[str, int, int]] | None = None) -> list[tuple[str, int, int]]:
     """Each occurrence of the terms (None: of all terms) that overlaps no base span: term, start, end."""
     starts, ends = [], []
-    for a, b in sorted(s[1:] for s in base_spans(text)):
+    for a, b in sorted(s[1:] for s in (base_spans(text) if spans is None else spans)):
         if ends and a < ends[-1]:
             ends[-1] = max(ends[-1], b)
         else:
@@ -119,21 +115,22 @@ def _places(text: str, wanted: frozenset[str] | None = None) -> list[tuple[str,
     return out
 
 
-def _find(batches):
+def _values(batches):
+    """Lines with values, one row each; and for each text a row with its number of lines alone."""
     for b in batches:
-        cols: dict[str, list] = {k: [] for k in ("email", "ip", "card", "phone", "base", "lines", "mentions")}
+        rows, total = [], 0
         for text in b.column("text"):
             text = text.as_py()
-            spans = base_spans(text)
-            for k in KINDS:
-                cols[k].append(sum(s[0] == k for s in spans))
-            cols["base"].append(joined(spans))
-            cols["lines"].append(text.count("\n") + 1)
-            cols["mentions"].append(_mentions(text, spans))
-        yield pa.record_batch(
-            [b.column("doc_id"), b.column("row"), *(pa.array(cols[k], pa.int64()) for k in KINDS), pa.array(cols["base"], pa.string()), pa.array(cols["lines"], pa.int64()), pa.array(cols["mentions"], _MENTIONS)],
-            names=["doc_id", "row", *(f"n_{k}" for k in KINDS), "base", "n_lines", "mentions"],
-        )
+            total += text.count("\n") + 1
+            rows += lines_with_values(text)
+        rows.append((None, None, None))
+        n = [0] * (len(rows) - 1) + [total]
+        yield pa.record_batch({
+            "line": pa.array([r[0] for r in rows], pa.int64()),
+            "entities": pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+            "terms": pa.array([r[2] for r in rows], pa.list_(pa.string())),
+            "n_lines": pa.array(n, pa.int64()),
+        })
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -166,26 +163,8 @@ def term_lines(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(each, "term string").join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
 
 
-_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-
-
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """row, terms: where any of the terms stands outside base spans, sorted; rows without one are left out."""
-    n = terms.count()
-    if n <= IN_MEMORY:
-        wanted = frozenset(r[0] for r in terms.collect())
-
-        def find(batches):
-            for b in batches:
-                rows, spans = [], []
-                for row, text in zip(b.column("row"), b.column("text")):
-                    text = text.as_py()
-                    if not wanted.isdisjoint(_terms(text)) and (found := _places(text, wanted)):
-                        rows.append(row.as_py())
-                        spans.append([{"start": x, "end": y} for _, x, y in found])
-                yield pa.record_batch({"row": pa.array(rows, pa.int64()), "terms": pa.array(spans, _SPANS)})
-
-        return docs.select("row", "text").mapInArrow(find, "row long, terms array<struct<start:int,end:int>>").dropDuplicates(["row"])
 
     def each(batches):
         for b in batches:
@@ -197,54 +176,81 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return every.select("row", "start", "end").distinct().groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))
 
 
+def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
+    """The text with its values generalised to their kind in brackets, and terms removed."""
+    end, kept = 0, []
+    for kind, a, b in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if a >= end:
+            kept += [text[end:a], "" if kind == "term" else f"[{kind.upper()}]"]
+        end = max(end, b)
+    return "".join([*kept, text[end:]])
+
+
+def _find(wanted: frozenset[str] | None):
+    """Counts, spans and the redacted text of each row; terms are looked up in ``wanted``, or None: stand in the column ``terms``."""
+
+    def run(batches):
+        for b in batches:
+            cols: dict[str, list] = {k: [] for k in (*KINDS, "base", "spans", "redacted")}
+            told = None if wanted is not None else b.column("terms").to_pylist()
+            for i, text in enumerate(b.column("text")):
+                text = text.as_py()
+                spans = base_spans(text)
+                if wanted is None:
+                    more = [("term", x["start"], x["end"]) for x in told[i] or ()]
+                else:
+                    more = [] if not wanted or wanted.isdisjoint(_terms(text)) else [("term", x, y) for _, x, y in _places(text, wanted, spans)]
+                for k in KINDS:
+                    cols[k].append(sum(s[0] == k for s in spans))
+                cols["base"].append(joined(spans))
+                cols["spans"].append(joined(spans + more))
+                cols["redacted"].append(redacted(text, spans + more))
+            yield pa.record_batch(
+                [b.column("doc_id"), *(pa.array(cols[k], pa.int64()) for k in KINDS), *(pa.array(cols[k], pa.string()) for k in ("base", "spans", "redacted"))],
+                names=["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans", "redacted"],
+            )
+
+    return run
+
+
+def telling_terms(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
+    """term: the terms that give a protected value away (see ``find_private``)."""
+    scratch = common.Scratch(docs.sparkSession, "private")
+    held = scratch.save(docs.select("text").mapInArrow(_values, _LINES))
+    lines = held.where("line is not null").select("line", "terms", F.explode("entities").alias("entity"))
+    # A value in fewer distinct lines has no term that stands beside it in enough: the pairs are counted for the others only.
+    entities = lines.groupBy("entity").agg(F.countDistinct("line").alias("lines"), F.count("*").alias("n_entity")).where(F.col("lines") >= support)
+    entities = scratch.save(entities.drop("lines"))
+    pairs = lines.join(entities, "entity").select("entity", "line", "n_entity", F.explode("terms").alias("term"))
+    often = pairs.groupBy("entity", "term").agg(F.countDistinct("line").alias("lines"), F.count("*").alias("both"), F.max("n_entity").alias("n_entity"))
+    often = scratch.save(often.where(F.col("lines") >= support))
+    total = held.agg(F.sum("n_lines")).first()[0] or 0
+    told = often.join(term_lines(docs, often.select("term").distinct()).withColumnRenamed("n", "n_term"), "term")
+    pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
+    own = F.log(F.lit(float(total)) / F.col("n_entity"))
+    out = scratch.save(told.where(pmi >= threshold * own).select("term").distinct())
+    scratch.drop(held, entities, often)
+    return out
+
+
 def find_private(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """Spans of personal data: doc_id, n_email, n_ip, n_card, n_phone, base, spans (strings kind:start:end, comma-joined).
+    """Spans of personal data: doc_id, n_email, n_ip, n_card, n_phone, base, spans (strings kind:start:end, comma-joined), redacted.
 
     Base spans come from patterns.  A term is added (kind ``term``) wherever it stands in the corpus outside base
     spans, beside the value or not, if it gives a value away: with probabilities counted over all lines, repeated ones each, its
     pointwise mutual information with the value reaches ``threshold`` times the information of the value itself, in ``support``
-    distinct lines or more, so that copies of one line are no evidence.
+    distinct lines or more, so that copies of one line are no evidence.  In ``redacted`` values are generalised to their kind, and terms removed.
 
-    Null and empty texts have no spans.  A repeated row is searched like any other, with its copies' result; a null
-    doc_id stays null.  Other columns are not read.  An empty table gives an empty table.
+    Null and empty texts have no spans.  Very long texts and lines are searched whole.  A repeated row is searched like any other; a null
+    doc_id stays null.  Of overlapping spans the earlier, or the longer, names what stands for both.  Other columns are not read.  An empty
+    table gives an empty table.
     """
-    common.prepare(docs.sparkSession)
-    docs = common.texts(docs).withColumn("row", F.xxhash64("doc_id", "text"))
-    found = common.checkpoint(docs.mapInArrow(_find, _FOUND))
-    mentions = found.select(F.explode("mentions").alias("m")).select("m.*")
-    n_lines = F.sum("n_lines")
-    often = mentions.groupBy("entity", "term").agg(F.countDistinct("line").alias("lines"), F.count("*").alias("both")).where(F.col("lines") >= support)
-    often = common.checkpoint(often)
-    if not often.isEmpty():
-        total = found.agg(n_lines).first()[0]
-        entities = mentions.groupBy("entity").agg(F.sum(F.col("lead").cast("long")).alias("n_entity"))
-        terms = term_lines(docs, often.select("term").distinct()).withColumnRenamed("n", "n_term")
-        told = often.join(entities, "entity").join(terms, "term")
-        pmi = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-        own = F.log(F.lit(float(total)) / F.col("n_entity"))
-        told = common.checkpoint(told.where(pmi >= threshold * own).select("term").distinct())
-        found = found.join(term_spans(docs, told), "row", "left")
-    else:
-        found = found.withColumn("terms", F.lit(None).cast("array<struct<start:int,end:int>>"))
-    added = F.array_join(F.transform("terms", lambda s: F.concat_ws(":", F.lit("term"), s["start"].cast("string"), s["end"].cast("string"))), ",")
-    spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), added)
-    return found.select("doc_id", *(f"n_{k}" for k in KINDS), "base", spans.alias("spans"))
-
-
-def redact(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """doc_id and text, each span of ``find_private`` replaced by its kind in brackets (values are generalised, terms removed)."""
-
-    def run(batches):
-        for b in batches:
-            out = []
-            for text, said in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
-                end, kept = 0, []
-                for kind, s, e in sorted(((k, int(s), int(e)) for k, s, e in (x.split(":") for x in (said or "").split(",") if x)), key=lambda x: x[1:]):
-                    if s >= end:
-                        kept += [text[end:s], "" if kind == "term" else f"[{kind.upper()}]"]
-                    end = max(end, e)
-                out.append("".join([*kept, text[end:]]))
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "text": pa.array(out, pa.string())})
-
-    spans = spans.groupBy("doc_id").agg(F.min("spans").alias("spans"))
-    return common.texts(docs).join(spans, "doc_id", "left").mapInArrow(run, "doc_id long, text string")
+    spark = docs.sparkSession
+    common.prepare(spark)
+    docs = common.texts(docs)
+    told = telling_terms(docs, support, threshold)
+    if told.count() <= IN_MEMORY:
+        shared = spark.sparkContext.broadcast(frozenset(r[0] for r in told.collect()))
+        return docs.mapInArrow(lambda batches: _find(shared.value)(batches), _FOUND)
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+    return docs.join(term_spans(docs, told), "row", "left").select("doc_id", "text", "terms").mapInArrow(_find(None), _FOUND)

@@ -60,7 +60,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_private(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", _sha256("base").alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", _sha256("base").alias("base_sha256"), "spans", _sha256("redacted").alias("redacted_sha256"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,9 +87,11 @@ FROM line LEFT JOIN owner USING (k) GROUP BY doc_id
 CONTAINED = f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(_LOW)} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format(_LOW)} AS w FROM benchmark),
-bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM b WHERE len(w) >= 5),
+short AS (SELECT DISTINCT len(w) AS k FROM b WHERE len(w) BETWEEN 1 AND 4),
+bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM b WHERE len(w) > 0),
 bn AS (SELECT item_id, count(*)::BIGINT AS n_item FROM bs GROUP BY item_id),
-ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) >= 5),
+ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE len(w) >= 5
+  UNION SELECT doc_id, array_to_string(w[i:i + k - 1], ' ') FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, short WHERE len(w) >= k)),
 c AS (SELECT doc_id, item_id, count(*)::BIGINT AS n_shared FROM ds JOIN bs USING (g) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM c JOIN bn USING (item_id) WHERE n_shared * 100 >= n_item * 80
 """
