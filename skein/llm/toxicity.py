@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skein.llm import common
 
-#: Labelled documents that training reads at most, and instances (words of labelled sentences) of each class.
+#: Bounds of the sample that the classifier is fitted on: labelled documents, and instances (words of their sentences) of each class.
 SAMPLE, INSTANCES = 20_000, 3_000
 LANDMARKS = 192
 #: Share of the toxic documents that a marking word must be in; rounds in which the clean words of largest margin join.
@@ -58,40 +58,64 @@ def subsequences(data: np.ndarray, start: np.ndarray, end: np.ndarray):
         yield i[good], number[good] + _BASE[p], weight
 
 
-def scale(sizes: np.ndarray) -> np.ndarray:
-    """The divisor of a word's features: the root of the sum of squared weights that a word of its length has."""
-    sizes = np.minimum(sizes, 24)
-    total = np.full(len(sizes), 1e-9)
-    for _, shape, weight in _SHAPES:
-        total += np.maximum(sizes - shape[-1], 0) * weight * weight
-    return np.sqrt(total)
-
-
-def features(words: list[bytes]) -> list[dict[int, float]]:
-    out = []
-    for w in words:
-        data = np.frombuffer(w, np.uint8)
-        own: dict[int, float] = {}
-        div = scale(np.array([len(w)]))[0]
-        for _, number, weight in subsequences(data, np.array([0]), np.array([len(w)])):
-            for u in number.tolist():
-                own[u] = own.get(u, 0.0) + weight / div
-        out.append(own)
-    return out
+def _limit() -> float:
+    """The sum of squared weights of a word of 24 letters."""
+    return sum(max(24 - shape[-1], 0) * weight * weight for _, shape, weight in _SHAPES)
+
+
+LIMIT = _limit()
 
 
-def kernel(a: list[dict[int, float]], b: list[dict[int, float]]) -> np.ndarray:
+def scale(squares: np.ndarray) -> np.ndarray:
+    """The divisor of a word's features: the root of the sum of the squared weights of its subsequences, of at most 24 letters' worth, so
+    that what a long word holds is not hidden by its length."""
+    return np.sqrt(np.clip(squares, 1e-9, LIMIT))
+
+
+@dataclass
+class Features:
+    """Gap-weighted subsequences of instances, sparse: instance, number, value; sorted by instance."""
+
+    n: int
+    row: np.ndarray
+    number: np.ndarray
+    value: np.ndarray
+
+    @staticmethod
+    def of(words: list[bytes]) -> Features:
+        data = np.frombuffer(b"".join(words), np.uint8)
+        off = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+        squares = np.zeros(len(words))
+        rows, numbers, values = [], [], []
+        for at, number, weight in subsequences(data, off[:-1], off[1:]):
+            row = np.searchsorted(off, at, "right") - 1
+            squares += np.bincount(row, minlength=len(words)) * weight * weight
+            rows.append(row)
+            numbers.append(number)
+            values.append(np.full(len(row), weight))
+        row, number, value = (np.concatenate(x) for x in (rows, numbers, values))
+        value /= scale(squares)[row]
+        both, at = np.unique(row * _SIZE + number, return_inverse=True)
+        return Features(len(words), both // _SIZE, both % _SIZE, np.bincount(at, weights=value, minlength=len(both)))
+
+    def take(self, rows) -> Features:
+        begin = np.searchsorted(self.row, np.arange(self.n + 1))
+        rows = np.asarray(rows, np.int64)
+        at = common.ranges(begin[rows], begin[rows + 1] - begin[rows])
+        return Features(len(rows), np.repeat(np.arange(len(rows)), begin[rows + 1] - begin[rows]), self.number[at], self.value[at])
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """The inner product of each instance with weights of all subsequences."""
+        return np.bincount(self.row, weights=self.value * weights[self.number], minlength=self.n)
+
+    def sum(self, of_row: np.ndarray) -> np.ndarray:
+        """Weights of all subsequences: the instances, each times its number."""
+        return np.bincount(self.number, weights=self.value * of_row[self.row], minlength=_SIZE)
+
+
+def kernel(a: Features, b: Features) -> np.ndarray:
     """Inner products of gap-weighted subsequence features."""
-    index: dict[int, list[tuple[int, float]]] = {}
-    for j, f in enumerate(b):
-        for u, v in f.items():
-            index.setdefault(u, []).append((j, v))
-    out = np.zeros((len(a), len(b)))
-    for i, f in enumerate(a):
-        for u, v in f.items():
-            for j, w in index.get(u, ()):
-                out[i, j] += v * w
-    return out
+    return np.stack([a.times(b.sum(np.eye(1, b.n, j)[0])) for j in range(b.n)], axis=1) if b.n else np.zeros((a.n, 0))
 
 
 @dataclass
@@ -103,11 +127,12 @@ class Model:
     document: np.ndarray
 
     def margins(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        total = np.zeros(len(data) + 1, np.float64)
+        total, squares = np.zeros(len(data) + 1), np.zeros(len(data) + 1)
         for at, number, weight in subsequences(data, start, end):
             total[at] += self.weights[number] * weight
-        sums = np.concatenate(([0.0], np.cumsum(total)))
-        return (sums[end] - sums[start]) / scale(end - start) + self.intercept
+            squares[at] += weight * weight
+        sums, squares = (np.concatenate(([0.0], np.cumsum(x))) for x in (total, squares))
+        return (sums[end] - sums[start]) / scale(squares[end] - squares[start]) + self.intercept
 
 
 def _newton(x: np.ndarray, grad_hess, start: np.ndarray, steps: int = 60) -> np.ndarray:
@@ -167,43 +192,40 @@ def train_words(toxic: list[tuple[str, float]], clean: list[tuple[str, float]])
     c = np.array([v for _, v in [*toxic, *clean]])
     for sign in (1, -1):
         c[y == sign] *= 1000 / max(c[y == sign].sum(), 1e-9)
-    f = features(words)
-    half = LANDMARKS // 2
-    marks = _spread([x for x, s in zip(f, y) if s > 0], half) + _spread([x for x, s in zip(f, y) if s < 0], half)
-    k_mm = kernel(marks, marks)
-    value, vector = np.linalg.eigh(k_mm)
+    f = Features.of(words)
+    marks = f.take(np.concatenate([spread(f.take(own), LANDMARKS // 2, own) for own in (np.flatnonzero(y > 0), np.flatnonzero(y < 0))]))
+    value, vector = np.linalg.eigh(kernel(marks, marks))
     keep = value > 1e-6 * max(value.max(), 1e-9)
     root = vector[:, keep] / np.sqrt(value[keep])
     w = fit_svm(kernel(f, marks) @ root, y, c)
-    beta = root @ w[:-1]
-    weights = np.zeros(_SIZE, np.float32)
-    for b, own in zip(beta, marks):
-        for u, v in own.items():
-            weights[u] += b * v
-    return weights, float(w[-1])
-
-
-def _spread(f: list[dict[int, float]], n: int) -> list[dict[int, float]]:
-    """Landmarks far from each other: each the first word, by weight, least like those already chosen."""
-    if len(f) <= n:
-        return f
-    f = f[: max(n, 600)]
-    k = kernel(f, f)
-    own = np.sqrt(np.maximum(np.diag(k), 1e-12))
-    like = k / own[:, None] / own[None, :]
-    chosen = [0]
-    nearest = like[:, 0].copy()
-    while len(chosen) < n:
-        i = int(np.argmin(np.round(nearest, 3)))
+    return marks.sum(root @ w[:-1]).astype(np.float32), float(w[-1])
+
+
+def spread(f: Features, n: int, names: np.ndarray) -> np.ndarray:
+    """Landmarks far from each other, among all instances of a class: each the first, by weight, least like those already chosen."""
+    own = np.sqrt(np.maximum(np.bincount(f.row, weights=f.value**2, minlength=f.n), 1e-12))
+    chosen, nearest = [], np.full(f.n, -1.0)
+    while len(chosen) < min(n, f.n):
+        i = int(np.argmin(np.round(nearest, 3))) if chosen else 0
         chosen.append(i)
-        nearest = np.maximum(nearest, like[:, i])
-    return [f[i] for i in chosen]
+        nearest = np.maximum(nearest, f.times(f.sum(np.eye(1, f.n, i)[0])) / own / own[i])
+        nearest[i] = np.inf
+    return names[chosen]
+
+
+def _spaced(s: np.ndarray, e: np.ndarray, d: np.ndarray):
+    """Words, runs of single characters that one separator parts taken for one: insults may be spelled with gaps."""
+    one = e - s == 1
+    more = np.zeros(len(s), bool)
+    more[1:] = one[1:] & one[:-1] & (s[1:] == e[:-1] + 1) & (d[1:] == d[:-1])
+    first = np.flatnonzero(~more)
+    return s[first], e[np.append(first[1:], len(s))[: len(first)] - 1], d[first]
 
 
 def _document_words(b, lower: bool = False):
     """Distinct words of a batch, packed, with pairs (document, word)."""
     data, off = common.packed(b.column("text"))
-    s, e, d = common.words(data, off)
+    s, e, d = _spaced(*common.words(data, off))
     ink = np.zeros(len(data) + 1, np.int32)
     np.add.at(ink, s, 1)
     np.add.at(ink, e, -1)
@@ -252,13 +274,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     own = own.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(common.crc_mod(F.col("doc_id"), FOLDS) != 0)
     own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.join(own, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
-    rows = common.checkpoint(rows)
+    scratch = common.Scratch(spark, "toxicity")
+    rows = scratch.save(rows)
     n = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     empty = Model(np.zeros(_SIZE, np.float32), -1.0, np.array([-5.0, 0.0, 0.0]))
     if len(n) < 2:
         return empty
     counts = rows.mapInArrow(_word_counts, "word string, bad long, good long").groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    counts = common.checkpoint(counts.where(F.length("word").between(3, 40)))
+    counts = scratch.save(counts)
     rate = (F.col("bad") + 0.01) / n[1] / ((F.col("bad") + 0.01) / n[1] + (F.col("good") + 0.5) / n[0])
     least = max(3, round(MARK * n[1]))
     bad = counts.where((F.col("bad") >= least) & (F.col("good") * n[1] * 50 <= F.col("bad") * n[0])).orderBy(F.desc(F.col("bad") * rate), "word").limit(INSTANCES).collect()
@@ -288,18 +311,20 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     got = rows.mapInArrow(measure, "a double, b double, toxic double").toPandas().to_numpy()
     model.document = fit_logistic(got[:, :2], got[:, 2])
+    scratch.drop(rows, counts)
     return model
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Score whole texts for toxicity: doc_id, held_out, score (0 to 1), predicted (1 if score is 0.5 or more).
 
-    Words of labelled sentences are compared by a string kernel over gapped subsequences of three and four
-    characters, so an insult with inserted or exchanged characters stays near itself.  Of toxic documents, the
-    words that mark them, of clean ones, all words can be instances; a Nystroem map on landmark words
-    feeds a support vector machine.  As the kernel is an inner product of features, the machine is one weight for each
+    Words of the labelled documents' sentences are compared by a string kernel over gapped subsequences of three and four
+    characters, so an insult with inserted or exchanged characters, or single characters with spaces, stays near itself.  Of toxic documents,
+    the words that mark them, of clean ones, all words can be instances (``INSTANCES`` a class at most, of ``sample`` documents);
+    a Nystroem map on landmarks among all instances feeds a support vector machine.  As the kernel is an inner product of features, the machine is one weight for each
     subsequence, and a document's score is a logistic function of its largest word margin and its number of hits.
-    Label, language, source and id are no inputs.  Null and empty texts get the score of a text without words.  Repeated rows
+    Words and texts of any length are read whole.  Label, language, source and id are no inputs.  Rows of labels that disagree about a
+    document count as toxic; of words of one weight the smaller goes first.  Null and empty texts get the score of a text without words.  Repeated rows
     are scored each; a null doc_id stays null.  Labels other than 0 and 1 are ignored; without labels of both kinds nothing is
     predicted toxic.  Other columns are not read.  An empty table gives an empty table.
     """
