@@ -4,13 +4,12 @@ import math
 import re
 import zlib
 from collections import Counter
-from types import SimpleNamespace
 
 import numpy as np
-import pyarrow.compute as pc
+import pyarrow as pa
 import pytest
 
-from skein.llm import jaccard, mixing, private, rounds
+from skein.llm import common, jaccard, mixing, private
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
@@ -141,44 +140,61 @@ def test_language(docs):
     assert all(r.score < 0 for r in rows)
 
 
-def _trained(texts):
-    return [[w.encode().lower() + b" " for w in WORD.findall(t or "")] + [b"\n"] for i, t in texts if zlib.crc32(str(i if i is not None else "").encode()) % 5 != 1]
+def _tokens(text):
+    return [w.lower() for w in WORD.findall(text or "")] + [""]
 
 
-def test_language_contexts_have_their_own_counts(spark):
-    """Every (word so far, code node) has the count of brute force, whatever shards the words are dealt to."""
+def _held_out(i):
+    return zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1
+
+
+def test_language_counts_match_brute_force(spark):
+    """Fixed columns, beside a text of over 1 MiB, repeated rows and null ids, whatever shards the words are dealt to."""
     rng = np.random.default_rng(3)
-    texts = [(i, " ".join("".join(rng.choice(list("abc"), rng.integers(1, 7))) for _ in range(30))) for i in range(60)] + TEXTS
-    dealt, _ = rounds.deal(spark.createDataFrame(texts, "doc_id long, text string"))
-    base = SimpleNamespace(value=mixing.basis(dealt, 5))
-    told = dealt.groupBy("chunk").applyInArrow(mixing._tell(base), rounds.ASK).toArrow()
-    assert len(set(told["shard"].to_pylist())) > 2
-    asked: dict[int, np.ndarray] = {}
-    shards = [mixing.Shard(base.value, told.filter(pc.equal(told["shard"], i))) for i in sorted(set(told["shard"].to_pylist()))]
-    for sh in shards:
-        for k, n in zip(sh.ask, np.concatenate([x[:, m].T for x, m in zip(sh.n, sh.asked)])[sh.order]):
-            asked[k] = asked.get(k, 0) + n
-    got = {}
-    for sh in shards:
-        sh.answered(np.array([asked[k] for k in sh.ask]))
-        for k, n in zip(sh.key[2], sh.n[2].T):
-            assert got.setdefault(k, tuple(n)) == tuple(n)
-    code, want = base.value.code, {}
-    for word in (w for ws in _trained(texts) for w in ws):
-        for j, b in enumerate(word):
-            for node, bit in zip(code.node[b, : code.size[b]], code.bit[b, : code.size[b]]):
-                want.setdefault((word[:j], node), [0, 0])[bit] += 1
-    assert Counter(n for n in got.values() if sum(n)) == Counter(map(tuple, want.values()))
-
-
-def test_language_statistics_cover_all_documents(spark):
-    """Code and number of tokens come from all training rows: beside a text of over 1 MiB, and all rows of one repeated id."""
-    texts = [(i, f"text {i} of many") for i in range(40)] + [(3, "x" * 300 + f" {i}") for i in range(450)] + [(j, "zq " * 400_000) for j in range(50, 52)]
-    dealt, _ = rounds.deal(spark.createDataFrame(texts, "doc_id long, text string"))
-    got = mixing.basis(dealt, 4)
-    words = [w for ws in _trained(texts) for w in ws]
-    want = mixing.huffman(np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256))
-    assert got.total == len(words) and np.array_equal(got.code.node, want.node) and np.array_equal(got.code.bit, want.bit)
+    texts = [(i, " ".join("".join(rng.choice(list("abC"), rng.integers(1, 5))) for _ in range(30))) for i in range(60)] + TEXTS + [(3, "x" * 300 + f" {i}") for i in range(45)] + [(50, "zq " * 400_000)]
+    count = Counter(w for i, t in texts if not _held_out(i) for w in _tokens(t))
+    total = sum(count.values())
+    want = []
+    for i, t in texts:
+        w = _tokens(t)
+        base = sum(math.log10((count[x] + 0.5) / (total + 0.5 * (len(count) + 1))) for x in w)
+        want.append((i if i is not None else -1, _held_out(i), len(w), sum(count[x] > 0 for x in w), total, round(base, 3)))
+    got = score_language(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in got) == sorted(want)
+
+
+def test_language_codes_match_brute_force():
+    """The share of a token after its two predecessors in other training documents, by (chunk's) documents."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("abcd"), 40)) for _ in range(30)]
+    trains = np.arange(30) % 3 > 0
+    data, off = common.packed(pa.array(texts))
+    t = mixing.Tokens(data, off)
+    _, key, doc, of = t.follows(1)
+    code = np.frombuffer(mixing._answer_follows([mixing._pack_follows(key)], [np.packbits(trains[doc]).tobytes()])[0], np.uint8)[of]
+    grams = [[(["", ""] + _tokens(x))[k : k + 3] for k in range(len(_tokens(x)))] for x in texts]
+    holds = [set(map(tuple, g)) for g in grams]
+    at = 0
+    for d, g in enumerate(grams):
+        for x, y, z in g:
+            others = [h for e, h in enumerate(holds) if trains[e] and e != d]
+            this = sum((x, y, z) in h for h in others)
+            whole = sum(u[:2] == (x, y) for e, h in enumerate(holds) if trains[e] for u in h) - trains[d]
+            if this:
+                assert code[at] >= mixing.HIT and abs((code[at] - mixing.HIT) * math.log(mixing.SHARE) - math.log(whole / this)) <= math.log(mixing.SHARE)
+            else:
+                assert code[at] == (mixing.MISS if whole else mixing.UNSEEN)
+            at += 1
+    assert at == len(code)
+
+
+def test_language_learns(spark):
+    """Texts of a fixed form that is held out cost fewer bits than by the base, and unknown words cost the more the longer they are."""
+    texts = [(i, f"the quick brown fox number {i % 9} jumps over the lazy dog and runs home") for i in range(300)]
+    texts += [(1000, "wxq"), (1001, "wxqwxqwxqvvkkj")]
+    got = {r.doc_id: r for r in score_language(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    held = [r for r in got.values() if r.held_out and r.doc_id < 300]
+    assert held and all(r.base_score < r.score < 0 for r in held) and got[1001].score < got[1000].score
 
 
 def test_private(docs):
