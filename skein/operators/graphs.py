@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,10 @@ def _cut(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder that the cluster shares."""
     sc, conf = df.sparkSession.sparkContext, df.sparkSession.conf
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="skein-"))
+        named = conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="skein-"))
     return df.checkpoint()
 
 
@@ -81,3 +85,103 @@ def parallel_withdrawal(edges: DataFrame) -> DataFrame:
     pair = edges.withColumn("x", F.least("a", "b")).withColumn("y", F.greatest("a", "b"))
     count = pair.groupBy("case_id", "x", "y").agg(F.count("*").alias("n"))
     return pair.join(count, ["case_id", "x", "y"]).withColumn("withdrawn", F.col("n") > 1).drop("x", "y", "n")
+
+
+def relation(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Pairs (case_id, first, second) with distance 0, 1, 2, GT2, DISCONNECTED or UNRESOLVED (a node is null), and the least common neighbour.
+
+    Common neighbours are looked for from the end with fewer neighbours.
+    """
+    both = _cut(undirected(edges).where("a <> b"))
+    degree = both.groupBy("case_id", F.col("a").alias("node")).agg(F.count("*").alias("degree"))
+    label = components(edges).select("case_id", "node", "component")
+    node = degree.join(label, ["case_id", "node"])
+    pairs = pairs.select("case_id", "first", "second").distinct()
+    for side in ("first", "second"):
+        pairs = pairs.join(node.select("case_id", F.col("node").alias(side), F.col("degree").alias(f"degree_{side}"), F.col("component").alias(f"component_{side}")), ["case_id", side], "left")
+    pairs = _cut(pairs)
+    less = F.coalesce("degree_first", F.lit(0)) <= F.coalesce("degree_second", F.lit(0))
+    apart = pairs.where("component_first = component_second and first <> second").select("case_id", "first", "second", F.when(less, F.col("first")).otherwise(F.col("second")).alias("a"), F.when(less, F.col("second")).otherwise(F.col("first")).alias("other"))
+    step = apart.join(both, ["case_id", "a"]).select("case_id", "first", "second", "other", F.col("b").alias("a"))
+    next_ = step.where("a = other").select("case_id", "first", "second", F.lit(True).alias("adjacent"))
+    shared = step.join(both.withColumnRenamed("b", "other"), ["case_id", "a", "other"], "left_semi").groupBy("case_id", "first", "second").agg(F.min("a").alias("witness"))
+    out = pairs.join(next_, ["case_id", "first", "second"], "left").join(shared, ["case_id", "first", "second"], "left")
+    distance = F.when(F.col("first").isNull() | F.col("second").isNull(), "UNRESOLVED").when(F.col("first") == F.col("second"), "0").when(F.col("adjacent"), "1").when(F.col("witness").isNotNull(), "2").when(F.col("component_first") == F.col("component_second"), "GT2").otherwise("DISCONNECTED")
+    return out.select("case_id", "first", "second", distance.alias("distance"), F.when(distance == "2", F.col("witness")).alias("witness"))
+
+
+def strong_components(edges: DataFrame) -> DataFrame:
+    """(case_id, node, component): the least node that a node reaches and is reached from.
+
+    The least label that reaches a node is spread forward; of each label's nodes those that also reach its root form a component and leave.
+    """
+    ends = edges.select("case_id", F.col("a").alias("node")).union(edges.select("case_id", "b"))
+    left, arcs = _cut(ends.distinct()), _cut(edges.select("case_id", "a", "b").where("a <> b").distinct())
+    done = None
+    while not left.isEmpty():
+        labels = _cut(left.withColumn("label", F.col("node")))
+        while True:
+            come = arcs.join(labels.withColumnRenamed("node", "a"), ["case_id", "a"]).groupBy("case_id", F.col("b").alias("node")).agg(F.min("label").alias("come"))
+            step = _cut(labels.join(come, ["case_id", "node"], "left").select("case_id", "node", "label", F.least("label", "come").alias("next")))
+            labels = step.select("case_id", "node", F.col("next").alias("label"))
+            if step.where("label <> next").isEmpty():
+                break
+        near = labels.select("case_id", F.col("node").alias("a"), "label").join(arcs, ["case_id", "a"])
+        near = _cut(near.join(labels.select("case_id", F.col("node").alias("b"), "label"), ["case_id", "b", "label"]).select("case_id", "a", "b", "label"))
+        got = front = _cut(labels.where("node = label"))
+        while True:
+            back = front.withColumnRenamed("node", "b").join(near, ["case_id", "b", "label"]).select("case_id", F.col("a").alias("node"), "label").distinct()
+            front = _cut(back.join(got, ["case_id", "node"], "left_anti"))
+            if front.isEmpty():
+                break
+            got = _cut(got.unionByName(front))
+        found = got.withColumnRenamed("label", "component")
+        done = found if done is None else done.unionByName(found)
+        left = _cut(left.join(got, ["case_id", "node"], "left_anti"))
+        arcs = _cut(arcs.join(left.withColumnRenamed("node", "a"), ["case_id", "a"], "left_semi").join(left.withColumnRenamed("node", "b"), ["case_id", "b"], "left_semi").select("case_id", "a", "b"))
+    return done if done is not None else left.withColumn("component", F.col("node"))
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """(case_id, node, parent, depth, edge_id): breadth-first trees from the least node of each component; the parent is the least
+    neighbour one level up, over the least edge.  Roots have no parent."""
+    roots = components(edges).select("case_id", F.col("component").alias("node")).distinct()
+    depth = _cut(reach(roots, edges))
+    ways = edges.select("case_id", "a", "b", "edge_id").union(edges.select("case_id", "b", "a", "edge_id"))
+    up = ways.join(depth.select("case_id", F.col("node").alias("a"), F.col("hops").alias("depth")), ["case_id", "a"]).join(depth.select("case_id", F.col("node").alias("b"), F.col("hops").alias("above")), ["case_id", "b"]).where("above = depth - 1")
+    best = up.groupBy("case_id", F.col("a").alias("node")).agg(F.min(F.struct("b", "edge_id")).alias("up"))
+    return depth.join(best, ["case_id", "node"], "left").select("case_id", "node", F.col("up.b").alias("parent"), F.col("hops").alias("depth"), F.col("up.edge_id").alias("edge_id"))
+
+
+def cycle_basis(edges: DataFrame) -> DataFrame:
+    """(case_id, edge_id, length): for each edge outside the forest the length of the cycle that it closes; loops have 1, parallels 2.
+
+    The deeper end of each edge climbs until both ends meet: one join a round, of the edges that have not met yet.
+    """
+    tree = _cut(forest(edges))
+    up = tree.select("case_id", "node", "parent", "depth")
+    left = edges.join(tree.where("edge_id is not null").select("case_id", "edge_id"), ["case_id", "edge_id"], "left_anti")
+    depth = lambda side: up.select("case_id", F.col("node").alias(side), F.col("depth").alias(f"depth_{side}"))
+    now = _cut(left.select("case_id", "edge_id", "a", "b", F.lit(1).alias("length")).join(depth("a"), ["case_id", "a"]).join(depth("b"), ["case_id", "b"]))
+    done = _cut(now.where("a = b").select("case_id", "edge_id", "length"))
+    while True:
+        now = now.where("a <> b")
+        swap = F.col("depth_a") < F.col("depth_b")
+        now = now.select("case_id", "edge_id", "length", *(F.when(swap, F.col(p)).otherwise(F.col(q)).alias(r) for p, q, r in (("b", "a", "a"), ("a", "b", "b"), ("depth_b", "depth_a", "depth_a"), ("depth_a", "depth_b", "depth_b"))))
+        now = _cut(now.join(up.select("case_id", F.col("node").alias("a"), "parent"), ["case_id", "a"]).select("case_id", "edge_id", F.col("parent").alias("a"), "b", (F.col("length") + 1).alias("length"), (F.col("depth_a") - 1).alias("depth_a"), "depth_b"))
+        if now.isEmpty():
+            return done
+        done = _cut(done.unionByName(now.where("a = b").select("case_id", "edge_id", "length")))
+
+
+def bypassed(cuts: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Open edges (case_id, edge_id, a, b) with whether their ends hang together before and after an overlay."""
+    every = before.withColumn("when", F.lit("before")).unionByName(after.withColumn("when", F.lit("after")))
+    keyed = components(every.select(F.concat_ws("|", "when", "case_id").alias("case_id"), "a", "b"))
+    out = cuts.select("case_id", "edge_id", "a", "b")
+    for when in ("before", "after"):
+        mine = keyed.where(F.col("case_id").startswith(f"{when}|")).select(F.substring_index("case_id", "|", -1).cast(cuts.schema["case_id"].dataType).alias("case_id"), "node", "component")
+        for side in ("a", "b"):
+            out = out.join(mine.select("case_id", F.col("node").alias(side), F.col("component").alias(f"_{side}")), ["case_id", side], "left")
+        out = out.withColumn(when, (F.col("a") == F.col("b")) | F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))).drop("_a", "_b")
+    return out.withColumn("bypassed", F.col("after") & ~F.col("before"))

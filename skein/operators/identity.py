@@ -13,8 +13,8 @@ def status(rows: Column, variants: Column) -> Column:
 
 
 def classify_groups(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    """One row for each key: n_rows, n_variants, identity_status.  Partial aggregation on a hash of the fields."""
-    variant = F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
+    """One row for each key: n_rows, n_variants, identity_status.  Nulls are values of their own."""
+    variant = F.struct(*fields)
     groups = df.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.count_distinct(variant).alias("n_variants"))
     return groups.withColumn("identity_status", status(F.col("n_rows"), F.col("n_variants")))
 

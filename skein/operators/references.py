@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,12 +21,13 @@ def resolve(requests: DataFrame, candidates: DataFrame, keys: list[str]) -> Data
 def across_cases(references: DataFrame, entities: DataFrame) -> DataFrame:
     """References (reference_id, case_id, ref) against entities (case_id, ref) of all cases: local and foreign counts, and a class.
 
-    Entities are counted by ref and case first, so a ref that many rows share is joined with one row for each case.
+    Every reference meets one row with the count of its ref in all cases and one with that in its own, however many cases hold it.
     """
-    per_case = entities.groupBy("ref", F.col("case_id").alias("owner")).agg(F.count("*").alias("n"))
-    joined = references.join(per_case, "ref", "left")
-    own = F.col("owner") == F.col("case_id")
-    out = joined.groupBy("reference_id", "case_id", "ref").agg(F.sum(F.when(own, F.col("n")).otherwise(0)).alias("n_local"), F.sum(F.when(~own, F.col("n")).otherwise(0)).alias("n_foreign"))
+    own = entities.groupBy("ref", "case_id").agg(F.count("*").alias("n_local"))
+    total = own.groupBy("ref").agg(F.sum("n_local").alias("n"))
+    out = references.join(total, "ref", "left").join(own, ["ref", "case_id"], "left")
+    local = F.coalesce("n_local", F.lit(0))
+    out = out.select("reference_id", "case_id", "ref", local.alias("n_local"), (F.coalesce("n", F.lit(0)) - local).alias("n_foreign"))
     kind = F.when(F.col("n_foreign") == 1, "UNIQUE_EXTERNAL").when(F.col("n_foreign") > 1, "MULTIPLE_EXTERNAL").when(F.col("n_local") > 0, "LOCAL_UNRESOLVED_ONLY").otherwise("UNDEFINED_GLOBAL")
     return out.withColumn("classification", kind)
 
@@ -34,6 +35,8 @@ def across_cases(references: DataFrame, entities: DataFrame) -> DataFrame:
 def case_edges(pairs: DataFrame, witnesses: int = 5) -> DataFrame:
     """(source, target, ref) to one row for each pair of cases: counts, whether the reverse exists, first witnesses."""
     distinct = pairs.groupBy("source", "target", "ref").agg(F.count("*").alias("n"))
-    edges = distinct.groupBy("source", "target").agg(F.sum("n").alias("n_references"), F.count("*").alias("n_distinct"), F.slice(F.array_sort(F.collect_set("ref")), 1, witnesses).alias("witnesses"))
+    first = distinct.withColumn("place", F.row_number().over(Window.partitionBy("source", "target").orderBy("ref"))).where(F.col("place") <= witnesses)
+    first = first.groupBy("source", "target").agg(F.array_sort(F.collect_list("ref")).alias("witnesses"))
+    edges = distinct.groupBy("source", "target").agg(F.sum("n").alias("n_references"), F.count("*").alias("n_distinct")).join(first, ["source", "target"])
     back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), F.lit(True).alias("reciprocal"))
     return edges.join(back, ["source", "target"], "left").withColumn("reciprocal", F.coalesce("reciprocal", F.lit(False)))

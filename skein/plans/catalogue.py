@@ -188,17 +188,17 @@ def q15_direction_classes(spark, d):
     return _degrees(spark, d).where("degree = 2").groupBy("case_id", direction.alias("direction")).agg(F.count("*").alias("n_nodes"))
 
 
-@query("""WITH o AS (SELECT l_partkey, count(*) FILTER (WHERE l_returnflag = 'A') AS n_in, count(*) FILTER (WHERE l_returnflag = 'R') AS n_out, min(l_suppkey) FILTER (WHERE l_returnflag = 'A') AS x, min(l_suppkey) FILTER (WHERE l_returnflag = 'R') AS y FROM lineitem WHERE l_quantity > 45 GROUP BY ALL)
-SELECT l_partkey, x, y, CASE WHEN x = y THEN 'SAME' ELSE 'DIFFERENT' END AS motif FROM o WHERE n_in = 1 AND n_out = 1""")
+@query("""WITH o AS (SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'A') AS n_in, count(*) FILTER (WHERE l_returnflag = 'R') AS n_out, min(l_suppkey) FILTER (WHERE l_returnflag = 'A') AS x, min(l_suppkey) FILTER (WHERE l_returnflag = 'R') AS y FROM lineitem GROUP BY ALL)
+SELECT l_orderkey, x, y, CASE WHEN x = y THEN 'SAME' ELSE 'DIFFERENT' END AS motif FROM o WHERE n_in = 1 AND n_out = 1""")
 def q16_wedge_candidates(spark, d):
     flag = F.col("l_returnflag")
-    o = _t(spark, d, "lineitem").where("l_quantity > 45").groupBy("l_partkey").agg(F.count_if(flag == "A").alias("n_in"), F.count_if(flag == "R").alias("n_out"), F.min(F.when(flag == "A", F.col("l_suppkey"))).alias("x"), F.min(F.when(flag == "R", F.col("l_suppkey"))).alias("y"))
-    return o.where("n_in = 1 and n_out = 1").select("l_partkey", "x", "y", F.when(F.col("x") == F.col("y"), "SAME").otherwise("DIFFERENT").alias("motif"))
+    o = _t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count_if(flag == "A").alias("n_in"), F.count_if(flag == "R").alias("n_out"), F.min(F.when(flag == "A", F.col("l_suppkey"))).alias("x"), F.min(F.when(flag == "R", F.col("l_suppkey"))).alias("y"))
+    return o.where("n_in = 1 and n_out = 1").select("l_orderkey", "x", "y", F.when(F.col("x") == F.col("y"), "SAME").otherwise("DIFFERENT").alias("motif"))
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def q21_unpublished_identities(spark, d):
-    return _t(spark, d, "customer").select("c_custkey", "c_nationkey").join(_t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    return _t(spark, d, "customer").select("c_custkey", "c_nationkey").join(_t(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
 
 
 @query(f"WITH RECURSIVE {_EDGES}, {_LIVE}, {_BOTH.format('live')}, {_HEADS}, {_REACHED} SELECT case_id, node FROM reached")
@@ -310,13 +310,27 @@ def q41_case_edge_graph(spark, d):
     return references.case_edges(_foreign(spark, d)).withColumn("witnesses", F.array_join("witnesses", ","))
 
 
-@query(f"WITH {_TRAFFIC}, g AS (SELECT DISTINCT c_nationkey AS source, s_nationkey AS target FROM traffic WHERE c_nationkey <> s_nationkey AND l_quantity > 48) SELECT source, target FROM g WHERE source < target AND (target, source) IN (SELECT (source, target) FROM g)")
+_STRICT = f"""{_TRAFFIC}, h AS (SELECT c_nationkey AS source, s_nationkey AS target, count(*) AS n FROM traffic WHERE c_nationkey <> s_nationkey GROUP BY ALL), t AS (SELECT source, sum(n) AS total, count(*) AS targets FROM h GROUP BY ALL), g AS (SELECT source, target FROM h JOIN t USING (source) WHERE 10 * n * targets >= 13 * total),
+mutual AS (SELECT source, target FROM g WHERE source < target AND (target, source) IN (SELECT (source, target) FROM g))"""
+
+
+def _mutual(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of cases each of which has 1.3 times its mean number of references to the other."""
+    n = _foreign(spark, d).groupBy("source", "target").agg(F.count("*").alias("n"))
+    total = n.groupBy("source").agg(F.sum("n").alias("total"), F.count("*").alias("targets"))
+    return graphs.mutual(n.join(total, "source").where("10 * n * targets >= 13 * total"))
+
+
+@query(f"WITH {_STRICT} SELECT source, target FROM mutual")
 def q42_mutual_pairs(spark, d):
-    large = _t(spark, d, "lineitem").where("l_quantity > 48").select("l_orderkey", "l_suppkey")
-    order = _t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("source"))
-    supplier = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("target"))
-    return graphs.mutual(large.join(order, "l_orderkey").join(customer, "o_custkey").join(supplier, "l_suppkey").where("source <> target"))
+    return _mutual(spark, d)
+
+
+@query(f"""WITH RECURSIVE {_STRICT}, ways AS (SELECT source AS a, target AS b FROM mutual UNION SELECT target, source FROM mutual), walk AS (SELECT a AS root, a AS node FROM ways UNION SELECT root, b FROM walk JOIN ways ON a = node)
+SELECT node AS nation, min(root) AS cluster FROM walk GROUP BY ALL""")
+def q42b_partition_clusters(spark, d):
+    pairs = _mutual(spark, d).select(F.lit(0).alias("case_id"), F.col("source").alias("a"), F.col("target").alias("b"))
+    return graphs.components(pairs).select(F.col("node").alias("nation"), F.col("component").alias("cluster"))
 
 
 @query("SELECT l_partkey, l_suppkey, min(l_orderkey) AS first_ref, array_to_string(list_sort(list(DISTINCT l_orderkey)), ',') AS record_ids FROM lineitem GROUP BY ALL HAVING count(*) > 1")
@@ -377,6 +391,13 @@ def q52_inventory_difference(spark, d):
     return identity.difference(expected, _t(spark, d, "orders").select(F.col("o_custkey").alias("key")).distinct())
 
 
+@query("""WITH e AS (SELECT l_partkey AS key, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL), o AS (SELECT l_partkey AS key, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)
+SELECT key, CASE WHEN coalesce(e.n, 0) > coalesce(o.n, 0) THEN 'MISSING' ELSE 'EXTRA' END AS side, abs(coalesce(e.n, 0) - coalesce(o.n, 0)) AS n FROM e FULL JOIN o USING (key) WHERE coalesce(e.n, 0) <> coalesce(o.n, 0)""")
+def q52b_multiset_difference(spark, d):
+    keys = lambda flag: _t(spark, d, "lineitem").where(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias("key"))
+    return identity.difference(keys("A"), keys("R")).groupBy("key", "side").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH RECURSIVE {_EDGES}, {_LIVE}, {_BOTH.format('live')}, {_HEADS}, hop AS (SELECT case_id, node, 0 AS hops FROM heads UNION SELECT h.case_id, e.b, hops + 1 FROM hop h JOIN both_ways e ON e.case_id = h.case_id AND e.a = h.node WHERE hops < 3)
 SELECT case_id, node, min(hops) AS hops, min(hops) > 2 AS depth_exceeded FROM hop GROUP BY ALL""")
 def q53_bounded_closure(spark, d):
