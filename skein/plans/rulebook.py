@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions import columns as C
-from skein.operators import graphs, identity, references, rules
+from skein.operators import graphs, identity, imports, references, rules
 from skein.plans import catalogue as K
-from skein.plans.catalogue import _BOTH, _COVERAGE, _EDGES, _GROUPS, _HEADS, _LIVE, _STATUS, _TRAFFIC, _t, query
+from skein.plans.catalogue import _BOTH, _COVERAGE, _EDGES, _GROUPS, _HEADS, _LIVE, _TRAFFIC, _t, query
+from skein.sinks import artifacts
+from skein.sources import archives, registry
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -235,3 +236,82 @@ above AS (SELECT case_id, node, node AS top, 0 AS far FROM depth UNION ALL SELEC
 SELECT e.case_id, edge_id, min(x.far + y.far + 1)::INT AS length FROM live e JOIN above x ON x.case_id = e.case_id AND x.node = e.a JOIN above y ON y.case_id = e.case_id AND y.node = e.b AND y.top = x.top WHERE (e.case_id, edge_id) NOT IN (SELECT (case_id, up[2]) FROM tree) GROUP BY ALL""")
 def q54_cycle_basis(spark, d):
     return graphs.cycle_basis(graphs._cut(K.edges(spark, d).where("status = 'F'").select("case_id", "edge_id", "a", "b")))
+
+
+# ---------------------------------------------------------------- import and archives
+
+
+def _archives(spark: SparkSession, d: str) -> DataFrame:
+    """An archive for each region, in it a folder for each nation, with a file of buses (customers) and one of stations (regions)."""
+    nation = _t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    customer = _t(spark, d, "customer").join(F.broadcast(nation), "c_nationkey")
+    key = F.when(F.col("c_custkey") % 50 == 0, "").otherwise((F.col("c_custkey") % 700).cast("string"))
+    named = F.when(F.col("c_custkey") % 13 == 0, "none").otherwise(F.concat(F.lit("st"), "n_regionkey"))
+    source = F.when(F.col("c_custkey") % 11 == 0, "perhaps").when(F.col("c_custkey") % 2 == 0, "TRUE").otherwise("false")
+    bus = customer.select("n_regionkey", "c_nationkey", F.col("c_custkey").alias("place"), artifacts.csv_line(key, F.concat("c_mktsegment", F.lit(', "the" one')), F.col("c_acctbal").cast("decimal(18,2)"), F.lit(""), named, source).alias("line"), F.lit("02_Bus.csv").alias("file"))
+    station = nation.select("n_regionkey", "c_nationkey", F.lit(0).cast("long").alias("place"), artifacts.csv_line(F.concat(F.lit("st"), "n_regionkey"), F.lit(""), F.lit("x"), F.lit("10"), F.lit(""), F.lit("")).alias("line"), F.lit("01_Station.csv").alias("file"))
+    lines = bus.unionByName(station).groupBy("n_regionkey", "c_nationkey", "file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\r\n").alias("body"))
+    head = F.element_at(F.create_map(*(F.lit(x) for f in ("01_Station.csv", "02_Bus.csv") for x in (f, ",".join(registry.header(f))))), F.col("file"))
+    return artifacts.pack_archives(lines.select(F.format_string("region%d.zip", "n_regionkey").alias("archive"), F.concat(F.lit("cases/n"), "c_nationkey", F.lit("/"), "file").alias("member"), F.encode(F.concat(head, F.lit("\r\n"), "body"), "UTF-8").alias("content")))
+
+
+_BUS = """bus AS (SELECT 'n' || c_nationkey AS case_key, CASE WHEN c_custkey % 50 <> 0 THEN (c_custkey % 700)::VARCHAR END AS id, c_mktsegment || ', "the" one' AS name, c_acctbal::DECIMAL(18,2) AS kv, c_custkey % 13 = 0 AS lost, c_custkey % 11 = 0 AS odd, c_custkey % 2 = 0 AS source, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS data_row, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+@query(f"""WITH {_BUS} SELECT 'region' || n_regionkey || '.zip' AS archive, 'zip-member:cases/' || case_key || '/02_Bus.csv#data-row=' || data_row AS record_ref, data_row::INT AS data_row, id AS bus_id, name AS bus_name, kv::DOUBLE AS base_kv, CASE WHEN NOT odd THEN source::VARCHAR END AS is_source FROM bus""")
+def q55_archive_round_trip(spark, d):
+    rows = imports.typed(archives.read_contents(_archives(spark, d), registry.headers()), "02_Bus.csv")
+    return rows.select("archive", "record_ref", "data_row", F.col("Bus_ID").alias("bus_id"), F.col("Bus_Name").alias("bus_name"), F.col("Bus_BaseKV").cast("double").alias("base_kv"), F.col("Bus_IsSource").cast("string").alias("is_source"))
+
+
+@query(f"""WITH {_BUS}, g AS (SELECT case_key, id, count(*) AS n FROM bus WHERE id IS NOT NULL GROUP BY ALL)
+SELECT case_key, CASE WHEN id IS NULL THEN 'REJECTED' WHEN n > 1 THEN 'DUPLICATE' WHEN lost THEN 'UNRESOLVED' ELSE 'MAPPED' END AS category, count(*) AS n_rows, sum((kv <= 0)::INT + odd::INT)::BIGINT AS n_issues FROM bus LEFT JOIN g USING (case_key, id) GROUP BY ALL""")
+def q56_import_categories(spark, d):
+    rows = archives.read_contents(_archives(spark, d), registry.headers())
+    bus = imports.with_identity(imports.typed(rows, "02_Bus.csv"), "Bus_ID")
+    station = imports.published(imports.with_identity(imports.typed(rows, "01_Station.csv"), "Station_ID"), "Station_ID").select("case_key", F.col("Station_ID").alias("Bus_Station_ID"), F.lit(True).alias("resolved"))
+    out = imports.categories(bus.join(station, ["case_key", "Bus_Station_ID"], "left"), "Bus_ID", F.coalesce("resolved", F.lit(False)))
+    return out.groupBy("case_key", "category").agg(F.count("*").alias("n_rows"), F.sum(F.size("issues")).cast("long").alias("n_issues"))
+
+
+@query("SELECT n.n_nationkey AS case_key, 'region' || n.n_regionkey || '.zip' AS archive, f AS file, 'cases/n' || n.n_nationkey || '/' || f AS member, true AS known, true AS safe FROM nation n, (SELECT unnest(['01_Station.csv', '02_Bus.csv']) AS f) WHERE f LIKE '01%' OR n_nationkey IN (SELECT c_nationkey FROM customer)")
+def q57_archive_inventory(spark, d):
+    found = archives.inventory(_archives(spark, d))
+    return found.select(F.substring("case_key", 2, 9).cast("int").alias("case_key"), "archive", F.substring_index("member", "/", -1).alias("file"), "member", "known", "safe")
+
+
+# ---------------------------------------------------------------- seven policies
+
+# The policies, each with the states that conduct and whether tie branches and branches of unproven safety count.
+POLICIES = {"S0": ("F", True, True), "S2": ("FO", True, True), "S2_NORMAL_ONLY": ("FO", False, True), "SEMANTIC_CONSERVATIVE": ("FO", True, False), "SEMANTIC_OPTIMISTIC": ("FO", True, True), "S2_UNKNOWN_NONCONDUCTING": ("FO", True, True), "S2_UNKNOWN_CONDUCTING": ("FOP", True, True)}
+
+
+def _policy_rule(states: str, ties: bool, unproven: bool, tie: Column, proven: Column) -> Column:
+    new = F.col("status") != "F"
+    rule = F.col("status").isin(*states)
+    rule = rule if ties else rule & (~new | ~tie)
+    return rule if unproven else rule & (~new | proven)
+
+
+_POLICY_SQL = " UNION ALL ".join(f"SELECT '{p}' AS policy, case_id, a, b FROM e WHERE contains('{s}', status){'' if t else ' AND (status = ' + chr(39) + 'F' + chr(39) + ' OR NOT tie)'}{'' if u else ' AND (status = ' + chr(39) + 'F' + chr(39) + ' OR proven)'}" for p, (s, t, u) in POLICIES.items())
+
+
+@query(f"""WITH RECURSIVE {_EDGES}, {_HEADS}, e AS (SELECT *, split_part(edge_id, ':', 1)::BIGINT % 3 = 0 AS tie, split_part(edge_id, ':', 3)::BIGINT % 2 = 0 AS proven FROM edges), overlay AS ({_POLICY_SQL}), names AS (SELECT unnest({list(POLICIES)}) AS policy),
+ways AS (SELECT policy, case_id, a, b FROM overlay UNION SELECT policy, case_id, b, a FROM overlay), r AS (SELECT policy, case_id, node FROM heads, names UNION SELECT r.policy, r.case_id, w.b FROM r JOIN ways w ON w.policy = r.policy AND w.case_id = r.case_id AND w.a = r.node),
+got AS (SELECT policy, case_id, count(*) FILTER (WHERE node LIKE 'c%') AS n FROM r GROUP BY ALL), total AS (SELECT case_id, count(DISTINCT b) AS n FROM edges GROUP BY ALL),
+c AS (SELECT policy, h.case_id, coalesce(t.n, 0) AS n_targets, coalesce(g.n, 0) AS n_reached, u.n IS NOT NULL AS doubtful FROM heads h CROSS JOIN names LEFT JOIN total t USING (case_id) LEFT JOIN got g USING (policy, case_id) LEFT JOIN (SELECT case_id, count(*) AS n FROM edges WHERE status = 'P' GROUP BY ALL) u USING (case_id))
+SELECT policy, case_id, n_targets, n_reached, CASE WHEN n_targets > 0 AND n_targets = n_reached THEN 'FULL' WHEN n_reached > 0 THEN 'PARTIAL' ELSE 'FAILED' END AS goal,
+  CASE WHEN n_targets > 0 AND n_targets = n_reached THEN NULL WHEN doubtful AND policy <> 'S2_UNKNOWN_CONDUCTING' THEN 'switch_unknown' WHEN n_targets = 0 THEN 'topology_disconnected' ELSE 'transformer_unreachable' END AS primary_reason FROM c""")
+def q58_policy_coverage(spark, d):
+    e = graphs._cut(K.edges(spark, d))
+    part = lambda n: F.element_at(F.split("edge_id", ":"), n).cast("long")
+    tie, proven = part(1) % 3 == 0, part(3) % 2 == 0
+    named = F.array_compact(F.array(*(F.when(_policy_rule(*how, tie, proven), F.lit(p)) for p, how in POLICIES.items())))
+    keyed = e.select(F.explode(named).alias("policy"), "case_id", "a", "b").select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "a", "b")
+    starts = K.heads(spark, d).select(F.explode(F.array(*map(F.lit, POLICIES))).alias("policy"), "case_id", "node")
+    got = graphs.reach(starts.select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "node"), keyed).groupBy(F.col("case_id").alias("key")).agg(F.count_if(F.col("node").startswith("c")).alias("n_reached"))
+    total = e.groupBy("case_id").agg(F.count_distinct("b").alias("n_targets"), F.max(F.col("status") == "P").alias("doubtful"))
+    out = starts.withColumn("key", F.concat_ws("|", "policy", "case_id")).join(got, "key", "left").join(total, "case_id", "left").na.fill(0, ["n_targets", "n_reached"])
+    full = (F.col("n_targets") > 0) & (F.col("n_targets") == F.col("n_reached"))
+    tags = rules.blockers({"switch_unknown": F.coalesce("doubtful", F.lit(False)) & (F.col("policy") != "S2_UNKNOWN_CONDUCTING"), "topology_disconnected": F.col("n_targets") == 0, "transformer_unreachable": F.lit(True)})
+    return out.select("policy", "case_id", "n_targets", "n_reached", F.when(full, "FULL").when(F.col("n_reached") > 0, "PARTIAL").otherwise("FAILED").alias("goal"), F.when(~full, F.get(tags, F.lit(0))).alias("primary_reason"))

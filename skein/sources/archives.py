@@ -7,7 +7,10 @@ import io
 import zipfile
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skein.sources import registry
 
 ROWS = "archive string, case_key string, member string, data_row int, record_ref string, names array<string>, fields array<string>, diagnostic string"
 _SCHEMA = pa.schema([("archive", pa.string()), ("case_key", pa.string()), ("member", pa.string()), ("data_row", pa.int32()), ("record_ref", pa.string()), ("names", pa.list_(pa.string())), ("fields", pa.list_(pa.string())), ("diagnostic", pa.string())])
@@ -40,7 +43,43 @@ def read_member(raw: bytes, header: list[str] | None):
 
 def read_archives(spark: SparkSession, path: str, headers: dict[str, list[str]] | None = None) -> DataFrame:
     """All rows of the CSV members of the ZIP archives at ``path``; headers: the exact header by file name."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return read_contents(spark.read.format("binaryFile").load(path), headers)
+
+
+def inventory(files: DataFrame) -> DataFrame:
+    """(path, content) of archives to archive, sha256, member, case_key, known (whether the registry has the file), safe: one row a member."""
+    schema = pa.schema([("archive", pa.string()), ("member", pa.string()), ("n_bytes", pa.int64())])
+
+    def run(batches):
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    rows = [{"archive": name, "member": i.filename, "n_bytes": i.file_size} for i in z.infolist() if not i.is_dir()]
+                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    listed = files.select("path", "content").mapInArrow(run, "archive string, member string, n_bytes long")
+    digest = files.select(F.col("path").alias("archive"), F.sha2("content", 256).alias("sha256"))
+    file, folder = F.substring_index("member", "/", -1), F.element_at(F.split("member", "/"), -2)
+    return listed.join(digest, "archive").select("archive", "sha256", "member", "n_bytes", F.when(F.contains("member", F.lit("/")), folder).alias("case_key"), file.isin(*registry.HEADERS).alias("known"), safe_member(F.col("member")).alias("safe"))
+
+
+def safe_member(member: Column) -> Column:
+    """Not empty, not absolute, no drive, no NUL, no step to a parent folder, whichever way the slashes lean."""
+    path = F.replace(member, F.lit("\\"), F.lit("/"))
+    return (F.length(path) > 0) & ~path.startswith("/") & ~path.rlike("^[A-Za-z]:") & ~F.contains(path, F.lit("\0")) & ~F.array_contains(F.split(path, "/"), "..")
+
+
+def locate(ref: Column) -> tuple[Column, Column]:
+    """The member and the data row that a record reference names; null for anything that is not one."""
+    good = r"^zip-member:([A-Za-z0-9/._~%-]+)#data-row=([1-9][0-9]*)$"
+    named = F.regexp_extract(ref, good, 1)
+    member = F.when(named != "", F.try_url_decode(named))
+    safe = F.coalesce(safe_member(member), F.lit(False))
+    return F.when(safe, member), F.when(safe, F.regexp_extract(ref, good, 2).try_cast("int"))
+
+
+def read_contents(files: DataFrame, headers: dict[str, list[str]] | None = None) -> DataFrame:
+    """All rows of the CSV members of archives (path, content)."""
 
     def run(batches):
         for b in batches:
@@ -57,7 +96,7 @@ def read_archives(spark: SparkSession, path: str, headers: dict[str, list[str]]
                     if rows:
                         yield pa.RecordBatch.from_pylist(rows, schema=_SCHEMA)
 
-    return files.mapInArrow(run, ROWS)
+    return files.select("path", "content").mapInArrow(run, ROWS)
 
 
 def split_records(raw: bytes) -> list[bytes]:
