@@ -39,6 +39,13 @@ def positive_integer(text: Column) -> tuple[Column, Column]:
     return good, issue((F.trim(text) != "") & good.isNull(), "NOT_A_POSITIVE_INTEGER")
 
 
+def to_instant(text: Column) -> tuple[Column, Column]:
+    """The instant that an ISO date and time with an offset spells; without an offset it names none.  Empty is absent, no issue."""
+    whole = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})$")
+    value = F.when(whole, text).try_cast("timestamp")
+    return value, issue((text != "") & value.isNull(), "INVALID_TIMESTAMP")
+
+
 def suspicious_identifier(text: Column) -> Column:
     """Identifiers that a spreadsheet has turned into scientific notation."""
     return text.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?[eE][+-]?[0-9]+$")
