@@ -43,14 +43,14 @@ candidates AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN
 
 
 @query(f"WITH {_CANDIDATES} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, safety FROM candidates")
-def q56_endpoint_safety(spark, d):
+def q59_endpoint_safety(spark, d):
     return _candidates(spark, d).select(*KEY, "safety")
 
 
 @query(f"""WITH {_CANDIDATES}, s AS (SELECT unnest(['S0', 'S1', 'S2', 'S3_A', 'S3_B']) AS strategy), r AS (SELECT strategy, state, CASE WHEN baseline THEN 'BASELINE_PRESERVED' WHEN strategy = 'S0' THEN 'BASELINE_EXCLUDED' WHEN NOT inner_exact THEN 'INNER_REFERENCE_NOT_EXACT' WHEN strategy <> 'S1' AND safety = 'CONFLICTING' THEN 'ENDPOINT_VOLTAGE_CONFLICT'
   WHEN state = 'UNKNOWN' AND strategy <> 'S3_A' THEN 'UNKNOWN_STATE_EXCLUDED' WHEN state = 'UNKNOWN' THEN 'UNKNOWN_PROJECTED_NOT_CONDUCTING' WHEN state = 'OPEN' THEN 'OPEN_PROJECTED_NOT_CONDUCTING' ELSE 'STRUCTURAL_SERIES_CANDIDATE' END AS reason FROM candidates, s)
 SELECT strategy, reason, state, count(*) AS n, count(*) FILTER (WHERE reason IN ('BASELINE_PRESERVED', 'STRUCTURAL_SERIES_CANDIDATE', 'UNKNOWN_PROJECTED_NOT_CONDUCTING', 'OPEN_PROJECTED_NOT_CONDUCTING')) AS n_projected, count(*) FILTER (WHERE reason IN ('BASELINE_PRESERVED', 'STRUCTURAL_SERIES_CANDIDATE') AND state = 'CLOSED') AS n_conducting FROM r GROUP BY ALL""")
-def q57_candidate_decision(spark, d):
+def q60_candidate_decision(spark, d):
     made = decisions.candidate_decisions(_candidates(spark, d), "baseline", "inner_exact", "safety", "state")
     return made.groupBy("strategy", "reason", "state").agg(F.count("*").alias("n"), F.count_if("projected").alias("n_projected"), F.count_if("conducting").alias("n_conducting"))
 
@@ -59,7 +59,7 @@ def q57_candidate_decision(spark, d):
   list(DISTINCT l_partkey % 3) FILTER (WHERE l_returnflag = 'A') AS ls, list(DISTINCT l_partkey % 3) FILTER (WHERE l_returnflag <> 'A') AS rs FROM lineitem GROUP BY ALL)
 SELECT l_orderkey, CASE WHEN len(lv) = 1 AND len(rv) = 1 AND lv[1] > 0 AND rv[1] > 0 THEN CASE WHEN lv[1] = rv[1] OR (lv[1] IN (10, 10.5) AND rv[1] IN (10, 10.5)) THEN 'COMPATIBLE' ELSE 'CONFLICT' END ELSE 'UNKNOWN' END AS voltage,
   CASE WHEN len(ls) = 1 AND len(rs) = 1 THEN CASE WHEN ls[1] = rs[1] THEN 'SAME_STATION' ELSE 'CROSS_STATION' END ELSE 'UNKNOWN' END AS station FROM g""")
-def q58_set_relations(spark, d):
+def q61_set_relations(spark, d):
     left = F.col("l_returnflag") == "A"
     volt, station = _kv(F.col("l_suppkey") % 6), F.col("l_partkey") % 3
     sets = [F.collect_set(F.when(side, v)).alias(n) for side, v, n in ((left, volt, "lv"), (~left, volt, "rv"), (left, station, "ls"), (~left, station, "rs"))]
@@ -70,7 +70,7 @@ def q58_set_relations(spark, d):
 @query("""WITH s AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'OBSERVED' WHEN 'O' THEN 'ELIGIBLE' ELSE 'PROPOSED' END AS before, CASE o_orderkey % 3 WHEN 0 THEN 'OBSERVED' WHEN 1 THEN 'ELIGIBLE' ELSE 'PROPOSED' END AS after, o_custkey % 7 = 0 AS blank, o_custkey % 5 = 0 AS bare FROM orders)
 SELECT o_orderkey, array_to_string(list_filter([CASE WHEN bare THEN 'EVIDENCE_MISSING' END, CASE WHEN blank THEN 'REASON_BLANK' END, CASE WHEN (before, after) NOT IN (('OBSERVED', 'ELIGIBLE'), ('ELIGIBLE', 'PROPOSED')) THEN 'STEP_NOT_ALLOWED' END], lambda x: x IS NOT NULL), ',') AS errors FROM s
 WHERE bare OR blank OR (before, after) NOT IN (('OBSERVED', 'ELIGIBLE'), ('ELIGIBLE', 'PROPOSED'))""")
-def q59_stage_guard(spark, d):
+def q62_stage_guard(spark, d):
     status, turn = F.col("o_orderstatus"), F.col("o_orderkey") % 3
     before = F.when(status == "F", "OBSERVED").when(status == "O", "ELIGIBLE").otherwise("PROPOSED")
     after = F.when(turn == 0, "OBSERVED").when(turn == 1, "ELIGIBLE").otherwise("PROPOSED")
@@ -101,14 +101,14 @@ facts AS (SELECT *, loose > 0 AS fa, cohort = 'ZERO_TRANSFORMER_ROWS' AS fb, coh
 
 @query(f"""WITH {_FACTS} SELECT c_custkey, cohort, concat(CASE WHEN fa THEN 'A' END, CASE WHEN fb THEN 'B' END, CASE WHEN fc THEN 'C' END, CASE WHEN fd THEN 'D' END) AS flags,
 CASE WHEN targets > 0 AND NOT fd AND NOT fa AND s0 = targets THEN 'SOURCE_EVIDENCE_SUFFICIENT' ELSE array_to_string(list_filter([CASE WHEN targets = 0 THEN 'ROLE_UNDETERMINED' END, CASE WHEN fd THEN 'BLOCKED_BY_CONFLICT' END, CASE WHEN fa THEN 'NEEDS_SYNTHETIC_COMPLETION' END, CASE WHEN targets = 0 OR s0 < targets THEN 'NEEDS_RULE_REVIEW' END], lambda x: x IS NOT NULL), ',') END AS readiness FROM facts""")
-def q60_recovery_readiness(spark, d):
+def q63_recovery_readiness(spark, d):
     ready = decisions.readiness(F.col("flags"), F.col("no_role"), ~F.col("s0_full"))
     return _facts(spark, d).select("c_custkey", "cohort", F.array_join("flags", "").alias("flags"), F.array_join(ready, ",").alias("readiness"))
 
 
 @query(f"""WITH {_FACTS} SELECT c_custkey, CASE WHEN fd THEN 'BLOCKED_BY_SOURCE_CONFLICT' WHEN fb OR targets = 0 THEN 'ROLE_CONFIRMATION_REQUIRED' WHEN s0 = targets THEN 'ALREADY_TARGET_COMPLETE' WHEN fc OR s2 = targets OR (s2 > 0 AND s0 = 0) THEN 'DETERMINISTIC_RULE_REVIEW'
 WHEN c_acctbal < 1000 OR (s0 = 0 AND s2 = 0) THEN 'INSUFFICIENT_STRUCTURE' WHEN fa AND c_custkey % 2 = 0 THEN 'AUTO_SYNTHETIC_ELIGIBLE' WHEN fa THEN 'ROLE_CONFIRMATION_REQUIRED' ELSE 'DETERMINISTIC_RULE_REVIEW' END AS action FROM facts""")
-def q61_completion_action(spark, d):
+def q64_completion_action(spark, d):
     c = F.col
     action = decisions.completion_action(c("flags"), c("targets"), c("s0_full"), c("s2_full"), c("s0") > 0, c("s2") > 0, c("c_acctbal") >= 1000, c("c_custkey") % 2 == 0)
     return _facts(spark, d).select("c_custkey", action.alias("action"))
@@ -120,7 +120,7 @@ def q61_completion_action(spark, d):
 @query(f"""WITH {_GATE}, own AS (SELECT case_id, ref, count(*) AS n, bool_and(s_acctbal >= 0) AS sole, min(s_suppkey) AS account FROM entity GROUP BY ALL), e AS (SELECT reference_id, case_id, CASE WHEN o_orderpriority LIKE '5%' THEN '' ELSE ref END AS ref FROM refs)
 SELECT reference_id, status, CASE WHEN status = 'EXACT_CASE_LOCAL' THEN account END AS account FROM (SELECT reference_id, account, CASE WHEN e.ref = '' THEN 'NO_DECLARATION' WHEN n = 1 AND sole THEN 'EXACT_CASE_LOCAL' WHEN n IS NOT NULL THEN 'CASE_LOCAL_AMBIGUOUS' WHEN e.ref IN (SELECT ref FROM entity) THEN 'EXTERNAL_DEFINED' ELSE 'UNDEFINED_REFERENCE' END AS status
   FROM e LEFT JOIN own ON own.case_id = e.case_id AND own.ref = e.ref)""")
-def q62_endpoint_resolution(spark, d):
+def q65_endpoint_resolution(spark, d):
     customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("case_id"))
     raw = F.when(F.col("o_orderpriority").startswith("5"), "").otherwise((F.col("o_orderkey") % 90).cast("string"))
     ends = _t(spark, d, "orders").join(customer, "o_custkey").select(F.col("o_orderkey").alias("reference_id"), "case_id", raw.alias("raw"))
@@ -130,7 +130,7 @@ def q62_endpoint_resolution(spark, d):
 
 @query(f"""WITH {_GATE}, own AS (SELECT case_id, ref, count(*) AS n FROM entity GROUP BY ALL), e AS (SELECT reference_id, case_id, CASE WHEN o_orderpriority LIKE '5%' THEN '' ELSE ref END AS raw FROM refs)
 SELECT reference_id, raw, CASE WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'UNRESOLVED' END AS code, CASE WHEN n > 1 THEN 'ERROR' ELSE 'WARNING' END AS severity FROM e LEFT JOIN own ON own.case_id = e.case_id AND own.ref = e.raw WHERE raw <> '' AND n IS DISTINCT FROM 1""")
-def q63_reference_issues(spark, d):
+def q66_reference_issues(spark, d):
     customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("case_id"))
     raw = F.when(F.col("o_orderpriority").startswith("5"), "").otherwise((F.col("o_orderkey") % 90).cast("string"))
     refs = _t(spark, d, "orders").join(customer, "o_custkey").select(F.col("o_orderkey").alias("reference_id"), "case_id", raw.alias("raw"))
@@ -145,7 +145,7 @@ _COMMON = "len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[:i]
 f AS (SELECT *, {_COMMON} AS common_prefix, regexp_full_match(a, '[0-9]+') AND regexp_full_match(b, '[0-9]+') AS digits FROM p)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a = b AND a <> '' AS exact_same, digits AND a <> b AS numeric_but_different, common_prefix, greatest(len(a), len(b)) - common_prefix AS differing_suffix, len(a) = len(b) AS same_length, regexp_full_match(a, '[0-9]+E[0-9]+') AS scientific,
   digits AND a <> b AND ltrim(a, '0') = ltrim(b, '0') AS leading_zero_only, {', '.join(f"len(a) >= {n} AND len(b) >= {n} AND right(a, {n}) = right(b, {n}) AS suffix_{n}" for n in (1, 2, 3, 6))} FROM f""")
-def q64_identifier_features(spark, d):
+def q67_identifier_features(spark, d):
     supplier, part, turn = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"), F.col("l_partkey") % 4
     a = F.when(F.col("l_linenumber") == 7, "").when(F.col("l_linenumber") == 6, F.concat(F.lit("1E"), supplier)).otherwise(supplier)
     b = F.when(turn == 0, F.concat(F.lit("00"), supplier)).when(turn == 1, F.concat(supplier, F.lit("_1"))).otherwise(part)
@@ -154,7 +154,7 @@ def q64_identifier_features(spark, d):
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN epoch(o_orderdate)::BIGINT WHEN 1 THEN epoch(o_orderdate)::BIGINT - 28800 WHEN 2 THEN epoch(o_orderdate)::BIGINT + 12600 END AS epoch, CASE WHEN o_orderkey % 5 > 2 THEN 'INVALID_TIMESTAMP' END AS issue FROM orders""")
-def q65_offset_timestamps(spark, d):
+def q68_offset_timestamps(spark, d):
     turn = F.col("o_orderkey") % 5
     zone = F.when(turn == 0, "Z").when(turn == 1, "+08:00").when(turn == 2, "-03:30").when(turn == 3, "").otherwise(" tomorrow")
     text = F.concat(F.regexp_replace(F.col("o_orderdate").cast("string"), " ", "T"), zone)
@@ -167,25 +167,25 @@ def q65_offset_timestamps(spark, d):
 
 @query(f"""WITH {_ENDS}, {_MOTIF}, g AS (SELECT l_suppkey, motif, count(*) AS n FROM motifs GROUP BY ALL), m AS (SELECT *, max(n) OVER (PARTITION BY l_suppkey) AS most, sum(n) OVER (PARTITION BY l_suppkey) AS total FROM g)
 SELECT l_suppkey, total::BIGINT AS n, string_agg(motif, ',' ORDER BY motif) FILTER (WHERE n = most) AS dominant, round_even(any_value(most::DOUBLE / total), 6) AS purity, (total - any_value(most))::BIGINT AS n_minority, CASE WHEN any_value(most) = total THEN 'ONE_MOTIF' WHEN any_value(most) * 10 >= total * 9 THEN 'PURITY_GE_0_9' ELSE 'MIXED' END AS bucket FROM m GROUP BY l_suppkey, total""")
-def q66_motif_purity(spark, d):
+def q69_motif_purity(spark, d):
     return decisions.dominance(_ends(spark, d).select("l_suppkey", rules.motif(*map(F.col, "abxy")).alias("motif")), "l_suppkey", "motif")
 
 
 @query(f"""WITH r AS ({K._SQL['q20_device_decision']}), dims AS (SELECT x AS reason, y AS status FROM (SELECT unnest(['PROJECTED', 'IDENTITY_NOT_UNIQUE', 'INCOMPLETE_LINE_EVIDENCE', 'INCIDENT_IDENTITY_CONFLICT', 'DEGREE', 'DIRECTION', 'EXPLICIT_ENDPOINT_EVIDENCE', 'INCIDENT_REFERENCE_NOT_EXACT', 'NAME_VOLTAGE_CONFLICT']) AS x), (SELECT unnest(['ACCEPTED', 'AMBIGUOUS', 'UNRESOLVED', 'EXCLUDED', 'UNSUPPORTED']) AS y))
 SELECT d.reason, d.status, count(l_partkey) AS n FROM dims d LEFT JOIN r USING (reason, status) GROUP BY ALL""")
-def q67_decision_matrix(spark, d):
+def q70_decision_matrix(spark, d):
     return decisions.matrix(q20_device_decision(spark, d), "reason", ["PROJECTED", *rules.DEVICE_REASONS], "status", decisions.STATUSES)
 
 
 @query(f"WITH {_TAGS} SELECT population, c_mktsegment, count(*) AS n FROM (SELECT 'ALL' AS population, c_custkey FROM customer UNION ALL SELECT tag, c_custkey FROM tags) JOIN customer USING (c_custkey) GROUP BY ALL")
-def q68_group_histograms(spark, d):
+def q71_group_histograms(spark, d):
     rows = _tagged(spark, d).join(_t(spark, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey")
     return decisions.group_histogram(rows, "tags", "c_mktsegment")
 
 
 @query(f"""WITH {_TAGS}, rec AS (SELECT DISTINCT tag AS reason, c_nationkey, c_custkey, o_orderpriority AS locator FROM tags JOIN customer USING (c_custkey) JOIN orders ON o_custkey = c_custkey), many AS (SELECT c_custkey FROM rec GROUP BY ALL HAVING count(DISTINCT reason) > 1)
 SELECT reason, count(*) AS n_records, count(DISTINCT c_custkey) AS n_owners, count(DISTINCT CASE WHEN c_custkey IN (SELECT c_custkey FROM many) THEN c_custkey END) AS n_overlapping FROM rec GROUP BY ALL""")
-def q69_cohort_overlap(spark, d):
+def q72_cohort_overlap(spark, d):
     tags = _tagged(spark, d).select("c_custkey", F.explode("tags").alias("reason"))
     nation = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
     orders = _t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("locator"))
@@ -194,7 +194,7 @@ def q69_cohort_overlap(spark, d):
 
 @query("""WITH s AS (SELECT l_returnflag, count(*) AS n_source FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, coalesce(n_source, 0) + row_number() OVER (PARTITION BY l_returnflag ORDER BY l_linenumber, l_orderkey, l_partkey, l_suppkey) - 1 AS row_index FROM lineitem LEFT JOIN s USING (l_returnflag) WHERE l_linenumber > 1""")
-def q70_appended_row_index(spark, d):
+def q73_appended_row_index(spark, d):
     """Appended rows are numbered on from the source rows of their member."""
     item = _t(spark, d, "lineitem").select(*KEY, "l_returnflag")
     source = item.where("l_linenumber = 1").groupBy("l_returnflag").agg(F.count("*").alias("n_source"))
@@ -212,7 +212,7 @@ SELECT violation, case_id, count(*) AS n FROM (SELECT 'DUPLICATE_ID' AS violatio
   UNION ALL SELECT 'DANGLING_BRANCH', case_id FROM edges WHERE (case_id, a) NOT IN (SELECT (case_id, node) FROM nodes) OR (case_id, b) NOT IN (SELECT (case_id, node) FROM nodes)
   UNION ALL SELECT 'REACHABLE_NOT_CLAIMED', case_id FROM (SELECT case_id, node FROM reached EXCEPT SELECT case_id, node FROM claimed) UNION ALL SELECT 'CLAIMED_NOT_REACHABLE', case_id FROM (SELECT case_id, node FROM claimed EXCEPT SELECT case_id, node FROM reached)
   UNION ALL SELECT 'USABLE_DISAGREES', case_id FROM (SELECT case_id, true AS usable FROM live GROUP BY ALL) u WHERE NOT EXISTS (SELECT 1 FROM live l JOIN reached r ON r.case_id = l.case_id AND r.node = l.a WHERE l.case_id = u.case_id)) GROUP BY ALL""")
-def q71_topology_violations(spark, d):
+def q74_topology_violations(spark, d):
     e = graphs._cut(K.edges(spark, d))
     live = e.where("status = 'F'")
     customers = _t(spark, d, "customer").where("c_acctbal >= 0").select(F.col("c_nationkey").alias("case_id"), F.concat(F.lit("c"), "c_custkey").alias("node"))
