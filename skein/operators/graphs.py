@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.operators.tables import Tables
+
 
 def _cut(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder that the cluster shares."""
-    sc, conf = df.sparkSession.sparkContext, df.sparkSession.conf
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = conf.get("spark.checkpoint.dir", None)
-        if named is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="skein-"))
-    return df.checkpoint()
+    return Tables(df.sparkSession).save(df)
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -27,33 +20,69 @@ def undirected(edges: DataFrame) -> DataFrame:
 def reach(heads: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
     """(case_id, node, hops) of all nodes that the heads (case_id, node) reach, breadth first; ``most`` bounds the hops.
 
-    A round joins the frontier alone, and removes what was seen, so the work is one pass over the edges of each node.
+    A round joins the frontier alone, and is written once: what was seen is the union of the rounds, never written again.  It takes as many rounds
+    as there are hops; where only membership is asked, ``reached`` takes their logarithm.
     """
-    both = _cut(undirected(edges))
-    seen = frontier = _cut(heads.select("case_id", "node").distinct().withColumn("hops", F.lit(0)))
-    level = 0
-    while most is None or level < most:
-        level += 1
-        step = frontier.withColumnRenamed("node", "a").join(both, ["case_id", "a"]).select("case_id", F.col("b").alias("node")).distinct()
-        frontier = _cut(step.join(seen, ["case_id", "node"], "left_anti").withColumn("hops", F.lit(level)))
-        if frontier.isEmpty():
+    t = Tables(edges.sparkSession)
+    both = t.save(undirected(edges))
+    rounds = [t.save(heads.select("case_id", "node").distinct().withColumn("hops", F.lit(0)))]
+    seen = rounds[0]
+    while most is None or len(rounds) <= most:
+        step = rounds[-1].withColumnRenamed("node", "a").join(both, ["case_id", "a"]).select("case_id", F.col("b").alias("node")).distinct()
+        # On the next hop there are only neighbours of the last: of what was seen, the last two rounds can meet them again.
+        for last in rounds[-2:]:
+            step = step.join(last, ["case_id", "node"], "left_anti")
+        found, n = t.count(step.withColumn("hops", F.lit(len(rounds))), F.lit(True))
+        if not n:
             break
-        seen = _cut(seen.unionByName(frontier))
+        rounds.append(found)
+        seen = seen.unionByName(found)
+    t.drop(both)
     return seen
 
 
+def reached(heads: DataFrame, edges: DataFrame) -> DataFrame:
+    """(case_id, node) of all nodes that the heads reach over edges without direction: the heads' components, and the heads themselves."""
+    label = components(edges)
+    served = label.join(heads.select("case_id", "node"), ["case_id", "node"], "left_semi").select("case_id", "component").distinct()
+    return label.join(served, ["case_id", "component"], "left_semi").select("case_id", "node").unionByName(heads.select("case_id", "node")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(case_id, node, component): the least node of the same component, by label propagation with pointer jumping."""
-    both = _cut(undirected(edges))
-    labels = _cut(both.groupBy("case_id", F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")))
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), ["case_id", "b"]).groupBy("case_id", F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        step = labels.join(near, ["case_id", "node"]).select("case_id", "node", F.col("label").alias("old"), F.least("label", "near").alias("next"))
-        over = step.select("case_id", F.col("node").alias("next"), F.col("next").alias("after"))
-        jumped = _cut(step.join(over, ["case_id", "next"]).select("case_id", "node", "old", F.col("after").alias("label")))
-        labels = jumped.select("case_id", "node", "label")
-        if jumped.where("old <> label").isEmpty():
-            return labels.withColumnRenamed("label", "component")
+    """(case_id, node, component): the least node of the same component, by contraction.
+
+    In a round each node hooks to the neighbour that a hash of the round puts first, if that comes before itself, and then goes three hooks further; nodes
+    with one image become one.  The hash makes chains short and leaves at most half of the nodes that have edges, on average, whatever the graph: rounds grow
+    with the logarithm of the nodes, and each works on what the last has left of the edges.  Least neighbours are found before the shuffle, and a join has each node
+    once on one side, so adaptive execution can split the edges of a node that has very many.
+    """
+    t = Tables(edges.sparkSession)
+    nodes = t.save(edges.select("case_id", F.col("a").alias("node")).union(edges.select("case_id", "b")).distinct())
+    now = t.save(edges.where("a <> b").select("case_id", F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+    maps, left = [], True
+    while left:
+        place = lambda c: F.struct(F.xxhash64(F.lit(len(maps)), c).alias("place"), F.col(c).alias("node"))
+        ends = now.select("case_id", F.col("u").alias("node"), F.col("v").alias("other")).union(now.select("case_id", "v", "u"))
+        first = ends.groupBy("case_id", "node").agg(F.min(place("other")).alias("first"))
+        up = t.save(first.select("case_id", "node", F.when(F.col("first") < place("node"), F.col("first.node")).otherwise(F.col("node")).alias("up")))
+        over = up.select("case_id", F.col("node").alias("up"), F.col("up").alias("image"))
+        far = up
+        for _ in range(3):
+            far = far.join(over, ["case_id", "up"]).select("case_id", "node", F.col("image").alias("up"))
+        maps.append(t.save(far.withColumnRenamed("up", "image")))
+        side = lambda c: maps[-1].select("case_id", F.col("node").alias(c), F.col("image").alias(f"new_{c}"))
+        moved = now.join(side("u"), ["case_id", "u"]).join(side("v"), ["case_id", "v"]).where("new_u <> new_v")
+        step, left = t.count(moved.select("case_id", F.least("new_u", "new_v").alias("u"), F.greatest("new_u", "new_v").alias("v")).distinct(), F.lit(True))
+        t.drop(now, up)
+        now = step
+    found = nodes.withColumn("root", F.col("node"))
+    for m in maps:
+        found = found.join(m.withColumnRenamed("node", "root"), ["case_id", "root"], "left").select("case_id", "node", F.coalesce("image", "root").alias("root"))
+    found = t.save(found)
+    least = found.groupBy("case_id", "root").agg(F.min("node").alias("component"))
+    out = t.save(found.join(least, ["case_id", "root"]).select("case_id", "node", "component"))
+    t.drop(found, nodes, *maps)
+    return out
 
 
 def cycle_rank(edges: DataFrame) -> DataFrame:
@@ -154,24 +183,33 @@ def forest(edges: DataFrame) -> DataFrame:
 
 
 def cycle_basis(edges: DataFrame) -> DataFrame:
-    """(case_id, edge_id, length): for each edge outside the forest the length of the cycle that it closes; loops have 1, parallels 2.
+    """(case_id, edge_id, length): for each edge outside the breadth-first forest the length of the cycle that it closes; loops have 1, parallels 2.
 
-    The deeper end of each edge climbs until both ends meet: one join a round, of the edges that have not met yet.
+    Ancestors 1, 2, 4, ... levels up are found by doubling; the deeper end of an edge rises to the other's level, and then both rise while they differ.
     """
-    tree = _cut(forest(edges))
-    up = tree.select("case_id", "node", "parent", "depth")
-    left = edges.join(tree.where("edge_id is not null").select("case_id", "edge_id"), ["case_id", "edge_id"], "left_anti")
-    depth = lambda side: up.select("case_id", F.col("node").alias(side), F.col("depth").alias(f"depth_{side}"))
-    now = _cut(left.select("case_id", "edge_id", "a", "b", F.lit(1).alias("length")).join(depth("a"), ["case_id", "a"]).join(depth("b"), ["case_id", "b"]))
-    done = _cut(now.where("a = b").select("case_id", "edge_id", "length"))
-    while True:
-        now = now.where("a <> b")
-        swap = F.col("depth_a") < F.col("depth_b")
-        now = now.select("case_id", "edge_id", "length", *(F.when(swap, F.col(p)).otherwise(F.col(q)).alias(r) for p, q, r in (("b", "a", "a"), ("a", "b", "b"), ("depth_b", "depth_a", "depth_a"), ("depth_a", "depth_b", "depth_b"))))
-        now = _cut(now.join(up.select("case_id", F.col("node").alias("a"), "parent"), ["case_id", "a"]).select("case_id", "edge_id", F.col("parent").alias("a"), "b", (F.col("length") + 1).alias("length"), (F.col("depth_a") - 1).alias("depth_a"), "depth_b"))
-        if now.isEmpty():
-            return done
-        done = _cut(done.unionByName(now.where("a = b").select("case_id", "edge_id", "length")))
+    t = Tables(edges.sparkSession)
+    tree = t.save(forest(edges))
+    levels, (now, left) = [], t.count(tree.select("case_id", "node", F.col("parent").alias("above")), F.col("above").isNotNull())
+    while left:
+        levels.append(now.where("above is not null"))
+        far = now.select("case_id", F.col("node").alias("above"), F.col("above").alias("far"))
+        now, left = t.count(now.join(far, ["case_id", "above"], "left").select("case_id", "node", F.col("far").alias("above")), F.col("above").isNotNull())
+    rest = edges.select("case_id", "edge_id", "a", "b").join(tree.where("edge_id is not null").select("case_id", "edge_id"), ["case_id", "edge_id"], "left_anti")
+    depth = lambda c: tree.select("case_id", F.col("node").alias(c), F.col("depth").alias(f"depth_{c}"))
+    rest = rest.join(depth("a"), ["case_id", "a"]).join(depth("b"), ["case_id", "b"])
+    low = F.col("depth_a") >= F.col("depth_b")
+    now = rest.select("case_id", "edge_id", F.when(low, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(low, F.col("b")).otherwise(F.col("a")).alias("b"), F.greatest("depth_a", "depth_b").alias("deep"), F.least("depth_a", "depth_b").alias("high"))
+    now = now.withColumn("length", F.col("deep") - F.col("high") + 1)
+    over = lambda level, c: level.select("case_id", F.col("node").alias(c), F.col("above").alias(f"above_{c}"))
+    for i in reversed(range(len(levels))):
+        rises = F.col("deep") - F.col("high") >= 1 << i
+        now = now.join(over(levels[i], "a"), ["case_id", "a"], "left").withColumn("a", F.when(rises, F.col("above_a")).otherwise(F.col("a"))).withColumn("deep", F.when(rises, F.col("deep") - (1 << i)).otherwise(F.col("deep"))).drop("above_a")
+    now = t.save(now)
+    for i in reversed(range(len(levels))):
+        now = now.join(over(levels[i], "a"), ["case_id", "a"], "left").join(over(levels[i], "b"), ["case_id", "b"], "left")
+        rises = F.coalesce(F.col("above_a") != F.col("above_b"), F.lit(False))
+        now = now.withColumn("a", F.when(rises, F.col("above_a")).otherwise(F.col("a"))).withColumn("b", F.when(rises, F.col("above_b")).otherwise(F.col("b"))).withColumn("length", F.col("length") + F.when(rises, 2 << i).otherwise(0)).drop("above_a", "above_b")
+    return now.select("case_id", "edge_id", (F.col("length") + F.when(F.col("a") != F.col("b"), 2).otherwise(0)).alias("length"))
 
 
 def bypassed(cuts: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
@@ -185,3 +223,45 @@ def bypassed(cuts: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
             out = out.join(mine.select("case_id", F.col("node").alias(side), F.col("component").alias(f"_{side}")), ["case_id", side], "left")
         out = out.withColumn(when, (F.col("a") == F.col("b")) | F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))).drop("_a", "_b")
     return out.withColumn("bypassed", F.col("after") & ~F.col("before"))
+
+
+def incidence_components(rows: DataFrame) -> DataFrame:
+    """(case_id, row_id, component) of rows (case_id, row_id, names) that hang together by raw names they share; the component is the least row in it.
+
+    Rows and names are both nodes, so a name in a million rows has a million edges and makes no pairs of rows.  Null and empty names connect nothing; a row
+    without names is a component of its own.
+    """
+    t = Tables(rows.sparkSession)
+    own = t.save(rows.select("case_id", F.concat(F.lit("r:"), F.col("row_id").cast("string")).alias("node"), "row_id", "names"))
+    links = own.select("case_id", F.col("node").alias("a"), F.explode("names").alias("name")).where("name <> ''").select("case_id", "a", F.concat(F.lit("n:"), "name").alias("b"))
+    label = components(links).where("node like 'r:%'")
+    found = own.join(label, ["case_id", "node"], "left").select("case_id", "row_id", F.coalesce("component", "node").alias("component"))
+    least = found.groupBy("case_id", "component").agg(F.min("row_id").alias("least"))
+    return found.join(least, ["case_id", "component"]).select("case_id", "row_id", F.col("least").alias("component"))
+
+
+def closure(seeds: DataFrame, edges: DataFrame, most: int) -> DataFrame:
+    """(seed, node, depth, depth_exceeded) of all nodes that each seed reaches along edges (source, target), breadth first; the seed itself is left out.
+
+    Nodes one beyond ``most`` are told as exceeded and not followed.  The frontier is keyed by seed: each has its own visited nodes, kept as the union of the rounds, so
+    that ways back and cycles end.  Seeds that are no source reach nothing.
+    """
+    if most < 0:
+        raise ValueError("the depth of a closure is 0 or more")
+    t = Tables(edges.sparkSession)
+    ways = t.save(edges.select("source", "target").distinct())
+    seen = front = t.save(seeds.select("seed", F.col("seed").alias("node"), F.lit(0).alias("depth")).distinct())
+    for depth in range(1, most + 2):
+        step = front.withColumnRenamed("node", "source").join(ways, "source").select("seed", F.col("target").alias("node")).distinct()
+        front, n = t.count(step.join(seen, ["seed", "node"], "left_anti").withColumn("depth", F.lit(depth)), F.lit(True))
+        if not n:
+            break
+        seen = seen.unionByName(front)
+    t.drop(ways)
+    return seen.where("depth > 0").withColumn("depth_exceeded", F.col("depth") > most)
+
+
+def junction_candidates(edges: DataFrame, junctions: DataFrame) -> DataFrame:
+    """(case_id, component, n_nodes, n_junctions, candidate) for each component: its junctions (case_id, node), and the least of them; null where it has none."""
+    found = components(edges).join(junctions.select("case_id", "node", F.lit(True).alias("junction")).distinct(), ["case_id", "node"], "left")
+    return found.groupBy("case_id", "component").agg(F.count("*").alias("n_nodes"), F.count_if("junction").alias("n_junctions"), F.min(F.when(F.col("junction"), F.col("node"))).alias("candidate"))

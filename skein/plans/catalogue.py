@@ -203,7 +203,7 @@ def q21_unpublished_identities(spark, d):
 
 @query(f"WITH RECURSIVE {_EDGES}, {_LIVE}, {_BOTH.format('live')}, {_HEADS}, {_REACHED} SELECT case_id, node FROM reached")
 def q22_conducting_reachability(spark, d):
-    return graphs.reach(heads(spark, d), edges(spark, d).where("status = 'F'")).select("case_id", "node")
+    return graphs.reached(heads(spark, d), edges(spark, d).where("status = 'F'"))
 
 
 @query(f"""WITH RECURSIVE {_EDGES}, {_LIVE}, {_BOTH.format('live')}, {_HEADS}, hop AS (SELECT case_id, node, 0 AS hops FROM heads UNION SELECT h.case_id, e.b, hops + 1 FROM hop h JOIN both_ways e ON e.case_id = h.case_id AND e.a = h.node WHERE hops < 30)
@@ -236,7 +236,7 @@ def coverage(spark: SparkSession, d: str) -> DataFrame:
     keyed = e.join(F.broadcast(policies), "status").select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "a", "b")
     names = policies.select("policy").distinct()
     starts = heads(spark, d).join(F.broadcast(names)).select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "node")
-    got = graphs.reach(starts, keyed).where("node like 'c%'").groupBy("case_id").agg(F.count("*").alias("n_reached"))
+    got = graphs.reached(starts, keyed).where("node like 'c%'").groupBy("case_id").agg(F.count("*").alias("n_reached"))
     targets = e.groupBy("case_id").agg(F.count_distinct("b").alias("n_targets"))
     every = heads(spark, d).select("case_id").join(F.broadcast(names)).join(targets, "case_id", "left").withColumn("key", F.concat_ws("|", "policy", "case_id"))
     out = every.join(got.withColumnRenamed("case_id", "key"), "key", "left").select("case_id", "policy", F.coalesce("n_targets", F.lit(0)).alias("n_targets"), F.coalesce("n_reached", F.lit(0)).alias("n_reached"))

@@ -129,7 +129,7 @@ def q30_tie_group_effect(spark, d):
     named = F.array_compact(F.array(*(F.when(c, F.lit(p)) for p, c in policies.items())))
     keyed = e.select(F.explode(named).alias("policy"), "case_id", "a", "b").select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "a", "b")
     starts = K.heads(spark, d).select(F.explode(F.array(*map(F.lit, policies))).alias("policy"), "case_id", "node").select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "node")
-    got = graphs.reach(starts, keyed).groupBy(F.substring_index("case_id", "|", 1).alias("policy")).agg(F.count_if(F.col("node").startswith("c")).alias("n"))
+    got = graphs.reached(starts, keyed).groupBy(F.substring_index("case_id", "|", 1).alias("policy")).agg(F.count_if(F.col("node").startswith("c")).alias("n"))
     one = got.agg(*(F.sum(F.when(F.col("policy") == p, F.col("n")).otherwise(0)).alias(p) for p in policies))
     effects = F.array(*(F.struct(F.lit(g).alias("tie_group"), (F.col(f"only-{g}") - F.col("none")).alias("gain_alone"), (F.col("all") - F.col(f"without-{g}")).alias("loss_without")) for g in TIES))
     return one.select(F.inline(effects))
@@ -182,8 +182,8 @@ m AS (SELECT case_id, node, bool_and(policy <> 'S0') AS fresh FROM r GROUP BY AL
 SELECT e.case_id, edge_id, a, b FROM edges e JOIN m x ON x.case_id = e.case_id AND x.node = a JOIN m y ON y.case_id = e.case_id AND y.node = b WHERE status = 'P' AND (x.fresh OR y.fresh)""")
 def q39_overlay_recovery(spark, d):
     e = graphs._cut(K.edges(spark, d))
-    old = graphs.reach(K.heads(spark, d), e.where("status = 'F'")).select("case_id", "node", F.lit(False).alias("fresh"))
-    both = old.unionByName(graphs.reach(K.heads(spark, d), e.where("status in ('F', 'O')")).select("case_id", "node", F.lit(True).alias("fresh")))
+    old = graphs.reached(K.heads(spark, d), e.where("status = 'F'")).select("case_id", "node", F.lit(False).alias("fresh"))
+    both = old.unionByName(graphs.reached(K.heads(spark, d), e.where("status in ('F', 'O')")).select("case_id", "node", F.lit(True).alias("fresh")))
     mapped = graphs._cut(both.groupBy("case_id", "node").agg(F.min("fresh").alias("fresh")))
     end = lambda side: mapped.select("case_id", F.col("node").alias(side), F.col("fresh").alias(f"fresh_{side}"))
     return e.where("status = 'P'").join(end("a"), ["case_id", "a"]).join(end("b"), ["case_id", "b"]).where("fresh_a or fresh_b").select("case_id", "edge_id", "a", "b")
@@ -309,7 +309,7 @@ def q58_policy_coverage(spark, d):
     named = F.array_compact(F.array(*(F.when(_policy_rule(*how, tie, proven), F.lit(p)) for p, how in POLICIES.items())))
     keyed = e.select(F.explode(named).alias("policy"), "case_id", "a", "b").select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "a", "b")
     starts = K.heads(spark, d).select(F.explode(F.array(*map(F.lit, POLICIES))).alias("policy"), "case_id", "node")
-    got = graphs.reach(starts.select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "node"), keyed).groupBy(F.col("case_id").alias("key")).agg(F.count_if(F.col("node").startswith("c")).alias("n_reached"))
+    got = graphs.reached(starts.select(F.concat_ws("|", "policy", "case_id").alias("case_id"), "node"), keyed).groupBy(F.col("case_id").alias("key")).agg(F.count_if(F.col("node").startswith("c")).alias("n_reached"))
     total = e.groupBy("case_id").agg(F.count_distinct("b").alias("n_targets"), F.max(F.col("status") == "P").alias("doubtful"))
     out = starts.withColumn("key", F.concat_ws("|", "policy", "case_id")).join(got, "key", "left").join(total, "case_id", "left").na.fill(0, ["n_targets", "n_reached"])
     full = (F.col("n_targets") > 0) & (F.col("n_targets") == F.col("n_reached"))
