@@ -6,7 +6,6 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +19,7 @@ FAN = 2
 #: Ranges of doc_id that are added one after another, and how many more each doubling of the input beyond so many bytes makes.
 BATCHES, MORE_BEYOND = 4, 1 << 30
 
-#: A line's two hashes, and the document that holds it (first).
+#: A line's two hashes, and a document: the first that holds it, or the first of a chunk.
 KEY = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8")])
 
 _ASKED = "batch int, shard int, keys binary"
@@ -99,18 +98,26 @@ def find(run: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def merge_anti_join(batch: np.ndarray, runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of a batch that no run holds, with their first documents; and of the batch's rows (key, document) those that an
-    earlier document's line repeats.  Each run is sorted and holds a key once, with its first document."""
+def firsts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of sorted keys are the first of equal ones, and the document of that one for each."""
+    head = np.ones(len(keys), bool)
+    head[1:] = (keys["h1"][1:] != keys["h1"][:-1]) | (keys["h2"][1:] != keys["h2"][:-1])
+    return head, keys["doc"][head][np.cumsum(head) - 1] if len(keys) else keys["doc"]
+
+
+def merge_anti_join(batch: np.ndarray, runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of a batch that no run holds, with their first documents; those of the batch's rows (key, first document of a chunk) that come after
+    the key's first document, and that document of each.  Each run is sorted and holds a key once, with its first document."""
     batch = _sorted(batch)
-    head = np.ones(len(batch), bool)
-    head[1:] = (batch["h1"][1:] != batch["h1"][:-1]) | (batch["h2"][1:] != batch["h2"][:-1])
+    head, _ = firsts(batch)
     keys = batch[head]
     first, new = keys["doc"].copy(), np.ones(len(keys), bool)
     for run in runs:
         at = find(run, keys)
         first[at >= 0], new[at >= 0] = run["doc"][at[at >= 0]], False
-    return keys[new], batch[first[np.cumsum(head) - 1] < batch["doc"]]
+    first = first[np.cumsum(head) - 1] if len(batch) else first
+    late = first < batch["doc"]
+    return keys[new], batch[late], first[late]
 
 
 class LineRuns:
@@ -137,14 +144,16 @@ class LineRuns:
         return self.spark.read.schema("number int, keys binary").parquet(*paths)
 
     def add(self, asked: DataFrame) -> str:
-        """Take a batch (shard, keys); returns a table of the lines that it loses (number: chunk of documents; keys)."""
+        """Take a batch (shard, keys: one row for each key and chunk, with the chunk's first document); returns a table of the keys that other chunks held first
+        (number: chunk; keys, with the first document of all)."""
         chunks, path = self.chunks, self._path()
 
         def run(batch: pa.Table, runs: pa.Table) -> pa.Table:
-            new, lost = merge_anti_join(_joined(_open(batch["keys"])), _open(runs["keys"]))
+            new, lost, first = merge_anti_join(_joined(_open(batch["keys"])), _open(runs["keys"]))
             shard = (batch if batch.num_rows else runs)["number"][0].as_py()
             out = [(True, shard, new.tobytes())] if len(new) else []
             chunk = lost["doc"] % chunks
+            lost["doc"] = first
             order = np.argsort(chunk, kind="stable")
             cut = np.flatnonzero(np.diff(chunk[order], prepend=-1, append=-1))
             out += [(False, int(chunk[order[a]]), lost[order[a:b]].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
@@ -176,56 +185,66 @@ class LineRuns:
         common.delete(self.spark, *self.runs())
 
 
+def _lines(docs: pa.Table):
+    """The documents of a chunk in slices, each with its lines and the keys of those that count."""
+    for whole in docs.combine_chunks().to_batches():
+        for b, data, off in common.slices(whole, "text"):
+            start, end, doc = line_spans(data, off)
+            h1, h2, counts = line_keys(common.LOWER[data], start, end)
+            counts &= b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)[doc]
+            keys = np.empty(int(counts.sum()), KEY)
+            keys["h1"], keys["h2"], keys["doc"] = h1[counts], h2[counts], b.column("doc_id").fill_null(0).to_numpy()[doc[counts]]
+            yield b, data, start, end, doc, counts, keys
+
+
 def _ask(cuts: np.ndarray, shards: int):
-    """The line keys of an Arrow batch with their documents, by batch and shard."""
-
-    def run(batches):
-        for whole in batches:
-            whole = whole.filter(pc.is_valid(whole.column("doc_id")))
-            for b, data, off in common.slices(whole, "text"):
-                low = common.LOWER[data]
-                start, end, doc = line_spans(low, off)
-                h1, h2, enough = line_keys(low, start, end)
-                keys = np.empty(int(enough.sum()), KEY)
-                keys["h1"], keys["h2"], keys["doc"] = h1[enough], h2[enough], b.column("doc_id").to_numpy()[doc[enough]]
-                keys = np.unique(keys)
-                at = np.searchsorted(cuts, keys["doc"]) * np.int64(shards) + rounds.shard_of(keys["h1"], shards).astype(np.int64)
-                order = np.argsort(at, kind="stable")
-                keys, at = keys[order], at[order]
-                cut = np.flatnonzero(np.diff(at, prepend=-1, append=-1))
-                yield pa.record_batch({
-                    "batch": pa.array((at[cut[:-1]] // shards).astype(np.int32)),
-                    "shard": pa.array((at[cut[:-1]] % shards).astype(np.int32)),
-                    "keys": pa.array([keys[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
-                })
+    """The line keys of a chunk of documents, by batch and shard: however many documents hold a key, it is asked about once, with the first of them."""
+
+    def run(docs: pa.Table) -> pa.Table:
+        keys = _joined([x[-1] for x in _lines(docs)])
+        batch = np.searchsorted(cuts, keys["doc"])
+        order = np.lexsort((keys["doc"], keys["h2"], keys["h1"], batch))
+        keys, batch = keys[order], batch[order]
+        head = firsts(keys)[0]
+        head[1:] |= batch[1:] != batch[:-1]
+        keys = keys[head]
+        # Shards never fall as hashes grow, so each batch's keys are in the order of shards.
+        at = batch[head] * np.int64(shards) + rounds.shard_of(keys["h1"], shards).astype(np.int64)
+        cut = np.flatnonzero(np.diff(at, prepend=-1, append=-1))
+        return pa.table({
+            "batch": pa.array((at[cut[:-1]] // shards).astype(np.int32)),
+            "shard": pa.array((at[cut[:-1]] % shards).astype(np.int32)),
+            "keys": pa.array([keys[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
+        })
 
     return run
 
 
 def _drop(docs: pa.Table, lost: pa.Table) -> pa.Table:
-    """Texts of one chunk without their lost lines."""
-    gone = _joined(_open(lost["keys"]))
-    gone = np.unique(common.mix(gone["h1"] ^ common.mix(gone["h2"] + gone["doc"].astype(np.uint64))))
+    """Texts of one chunk without the lines that an earlier document holds, in the chunk or as answered (keys, first document)."""
+    slices = list(_lines(docs))
+    told = _open(lost["keys"])
+    every = _joined(told + [x[-1] for x in slices])
+    order = np.lexsort((every["doc"], every["h2"], every["h1"]))
+    late = np.empty(len(every), bool)
+    late[order] = firsts(every[order])[1] < every["doc"][order]
+    late = late[sum(map(len, told)) :]
     out = {"kept": [], "n_lines": [], "n_dropped": []}
-    for b in docs.combine_chunks().to_batches():
-        for b, data, off in common.slices(b, "text"):
-            start, end, doc = line_spans(data, off)
-            n_lines = np.bincount(doc, minlength=b.num_rows)
-            ids = b.column("doc_id").fill_null(0).to_numpy()[doc]
-            h1, h2, enough = line_keys(common.LOWER[data], start, end)
-            drop = enough & np.isin(common.mix(h1 ^ common.mix(h2 + ids.astype(np.uint64))), gone)
-            drop &= b.column("doc_id").is_valid().to_numpy(zero_copy_only=False)[doc]
-            n_dropped = np.bincount(doc, weights=drop, minlength=b.num_rows).astype(np.int64)
-            stay = np.flatnonzero(~drop)
-            last = np.append(doc[stay][1:] != doc[stay][:-1], True)[: len(stay)]
-            size = end[stay] - start[stay] + ~last
-            kept = data[np.minimum(common.ranges(start[stay], size), max(len(data) - 1, 0))]
-            ends = np.cumsum(size)
-            kept[ends[~last] - 1] = 0x0A
-            off = np.concatenate(([0], np.cumsum(np.bincount(doc[stay], weights=size, minlength=b.num_rows)))).astype(np.int64)
-            out["kept"].append(pa.LargeStringArray.from_buffers(b.num_rows, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(kept))).cast(pa.string()))
-            out["n_lines"].append(pa.array(n_lines.astype(np.int64)))
-            out["n_dropped"].append(pa.array(n_dropped))
+    for b, data, start, end, doc, counts, keys in slices:
+        n_lines = np.bincount(doc, minlength=b.num_rows)
+        drop = np.zeros(len(doc), bool)
+        drop[counts], late = late[: len(keys)], late[len(keys) :]
+        n_dropped = np.bincount(doc, weights=drop, minlength=b.num_rows).astype(np.int64)
+        stay = np.flatnonzero(~drop)
+        last = np.append(doc[stay][1:] != doc[stay][:-1], True)[: len(stay)]
+        size = end[stay] - start[stay] + ~last
+        kept = data[np.minimum(common.ranges(start[stay], size), max(len(data) - 1, 0))]
+        ends = np.cumsum(size)
+        kept[ends[~last] - 1] = 0x0A
+        off = np.concatenate(([0], np.cumsum(np.bincount(doc[stay], weights=size, minlength=b.num_rows)))).astype(np.int64)
+        out["kept"].append(pa.LargeStringArray.from_buffers(b.num_rows, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(kept))).cast(pa.string()))
+        out["n_lines"].append(pa.array(n_lines.astype(np.int64)))
+        out["n_dropped"].append(pa.array(n_dropped))
     made = {k: pa.chunked_array(v, pa.string() if k == "kept" else pa.int64()) for k, v in out.items()}
     return pa.table({"doc_id": docs["doc_id"], "n_lines": made["n_lines"], "n_dropped": made["n_dropped"], "kept": made["kept"], "carried": docs["carried"]})
 
@@ -253,7 +272,9 @@ def dedup_lines(docs: DataFrame, batches: int | None = None, carry: bool = False
     folder = f"{common.shared(spark)}/lines-{uuid.uuid4().hex}"
     cuts = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] if batches > 1 else []
     cuts = np.array(sorted(set(cuts or [])), np.int64)
-    docs.mapInArrow(_ask(cuts, int(shards)), _ASKED).write.partitionBy("batch").parquet(f"{folder}/asked")
+    named = docs.where("doc_id is not null").withColumn("number", F.pmod("doc_id", F.lit(int(chunks))).cast("int"))
+    asked = named.repartition(common.parts(docs), "number").groupBy("number").applyInArrow(_ask(cuts, int(shards)), _ASKED)
+    asked.write.partitionBy("batch").parquet(f"{folder}/asked")
     runs, lost = LineRuns(spark, folder, int(chunks)), []
     for i in range(len(cuts) + 1):
         common.ensure_folder(spark, f"{folder}/asked/batch={i}")

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from skein.llm import common, jaccard, mixing, private
+from skein.llm import common, jaccard, lines, mixing, private
 from skein.llm.decontaminate import find_contained
 from skein.llm.jaccard import link_documents
 from skein.llm.lines import dedup_lines
@@ -246,3 +246,17 @@ def test_toxicity(spark):
 @pytest.mark.parametrize("run", [dedup_lines, dedup_substrings, dedup_suffixes, link_documents, pack_documents, find_private, score_language])
 def test_empty_table(docs, run):
     assert run(docs.limit(0)).count() == 0
+
+
+def test_a_line_in_all_documents_is_asked_about_once_a_chunk(spark):
+    """No shard gets a row for each document that holds a line: one for each chunk, whatever the number of documents."""
+
+
+    hot = "the same line in all documents"
+    docs = pa.table({"doc_id": pa.array(range(3000), pa.int64()), "text": [f"{hot}\nown line of number {i}\n{hot}" for i in range(3000)]})
+    asked = lines._ask(np.array([1000, 2000]), 4)(docs)
+    keys = np.concatenate(lines._open(asked["keys"]))
+    assert len(keys) == 3000 + 3 and np.unique(keys[["h1", "h2"]], return_counts=True)[1].max() == 3
+    df = spark.createDataFrame([(i, f"{hot}\nown line of number {i}") for i in range(500)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in lines.dedup_lines(df).collect()}
+    assert got == {i: (2, int(i > 0), f"own line of number {i}" if i else f"{hot}\nown line of number 0") for i in range(500)}
