@@ -154,7 +154,7 @@ def _summary(words: int):
 
 
 def _index(words: int, percent: int, n: int):
-    """The signatures of a slab of documents, one row for each shard."""
+    """The signatures of a slab of documents, one row for each shard; of the documents of one set, however many, those of the first."""
 
     def run(batches):
         for b in batches:
@@ -162,6 +162,9 @@ def _index(words: int, percent: int, n: int):
             for i, j in common.slabs(off, 2 * common.SLAB):
                 doc, h = common.shingles(data[off[i] : off[j]], off[i : j + 1] - off[i], words)
                 key, _ = _set_keys(doc, h, j - i)
+                once = np.zeros(j - i, bool)
+                once[np.unique(key, return_index=True)[1]] = True
+                doc, h = doc[once[doc]], h[once[doc]]
                 d, sig, flags = signatures(doc, h, j - i, percent)
                 shard = shard_of(sig, n)
                 order = np.lexsort((d, shard))
@@ -169,7 +172,7 @@ def _index(words: int, percent: int, n: int):
                 low = (sig[order].astype(np.uint32) << np.uint32(2)) | flags[order]
                 keys = key[d]
                 cut = np.searchsorted(shard, np.arange(n + 1, dtype=np.uint64))
-                made = [s for s in range(n) if cut[s] < cut[s + 1]]
+                made = np.flatnonzero(np.diff(cut)).tolist()
                 yield pa.record_batch({
                     "shard": pa.array(made, pa.int32()),
                     "keys": pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in made], pa.binary()),

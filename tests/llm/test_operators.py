@@ -260,3 +260,11 @@ def test_a_line_in_all_documents_is_asked_about_once_a_chunk(spark):
     df = spark.createDataFrame([(i, f"{hot}\nown line of number {i}") for i in range(500)], "doc_id long, text string")
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept) for r in lines.dedup_lines(df).collect()}
     assert got == {i: (2, int(i > 0), f"own line of number {i}" if i else f"{hot}\nown line of number 0") for i in range(500)}
+
+
+def test_copies_are_indexed_once_a_slab():
+    """However many documents of a slab have one set, its signatures are sent once; and other sets' are those that they have alone."""
+    texts = ["one two three four five six seven eight nine ten " * 3, "alpha beta gamma delta epsilon zeta eta theta"]
+    batch = lambda *t: pa.record_batch({"text": pa.array(t)})
+    sent = lambda b: sorted((s, k, x) for r in jaccard._index(5, 80, 4)(iter([b])) for s, ks, xs in zip(*(r.column(c).to_pylist() for c in ("shard", "keys", "signatures"))) for k, x in zip(np.frombuffer(ks, np.uint64).tolist(), np.frombuffer(xs, np.uint32).tolist()))
+    assert sent(batch(*texts[:1] * 500, texts[1], "", None)) == sent(batch(*texts)) and len(sent(batch(*texts))) > 4
