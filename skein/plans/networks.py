@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import forests, graphs, overlays
+from skein.operators import forests, graphs, overlays, recovery
 from skein.plans import catalogue as K
 from skein.plans.catalogue import _BOTH, _EDGES, _HEADS, _LIVE, _t, query
 
@@ -191,3 +191,61 @@ SELECT case_id, component, count(*) AS n_nodes, count(*) FILTER (WHERE (case_id,
 def q84_junction_candidates(spark, d):
     junctions = _t(spark, d, "supplier").where("s_suppkey % 3 = 0").select(F.col("s_nationkey").alias("case_id"), F.concat(F.lit("s"), "s_suppkey").alias("node"))
     return graphs.junction_candidates(K.edges(spark, d).where("status = 'F'"), junctions)
+
+
+# ---------------------------------------------------------------- recovery
+
+
+def _sources(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Orders as switches between two customers of a case, their line items as lines, customers as buses; a case is a remainder of the customer's key."""
+    none = F.lit(None).cast("string")
+    bus = lambda key: F.concat(F.lit("c"), key)
+    o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust"), (F.col("o_custkey") % 20).alias("case_id"), "o_orderstatus", "o_orderpriority")
+    far = bus(F.col("cust") + 20)
+    one = o.join(_t(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("key")).agg(F.count("*").alias("n")), "key")
+    turn = F.col("key") % 5 == 3
+    state = F.when(F.col("o_orderstatus") == "F", "Closed").when(F.col("o_orderstatus") == "O", "Open").otherwise("Ajar")
+    switch = one.select("case_id", F.when(F.col("key") % 11 == 0, "TRANSFORMER").when(F.col("key") % 13 == 0, "ACCESS_POINT").otherwise("SWITCH").alias("kind"), F.concat(F.lit("r"), "key").alias("record"), F.concat(F.lit("o"), "key").alias("entity_id"), (F.col("key") % 17 != 0).alias("unique"),
+        F.when(turn, far).otherwise(bus("cust")).alias("end1"), F.when(F.col("n") == 1, "").when(turn, bus("cust")).when(F.col("key") % 5 == 4, none).otherwise(far).alias("end2"), state.alias("state"), F.when(F.col("o_orderpriority").startswith("1"), "TRUE").otherwise("false").alias("tie"), none.alias("voltage"))
+    item = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", "l_partkey", "l_suppkey").join(o, "key")
+    first = F.col("l_linenumber") == 1
+    name = F.concat_ws(":", "key", "l_linenumber", "l_partkey", "l_suppkey")
+    line = item.select("case_id", F.lit("LINE").alias("kind"), F.concat(F.lit("l"), name).alias("record"), F.concat(F.lit("l"), name).alias("entity_id"), (F.col("l_partkey") % 23 != 0).alias("unique"), F.when(first, bus("cust")).otherwise(F.concat(F.lit("o"), "key")).alias("end1"), F.when(first, F.concat(F.lit("o"), "key")).otherwise(far).alias("end2"), none.alias("state"), none.alias("tie"), none.alias("voltage"))
+    key = F.col("c_custkey")
+    bus_ = _t(spark, d, "customer").select((key % 20).alias("case_id"), F.when(key % 29 == 0, "REGION").otherwise("BUS").alias("kind"), bus("c_custkey").alias("record"), bus("c_custkey").alias("entity_id"), (key % 19 != 0).alias("unique"), none.alias("end1"), none.alias("end2"), none.alias("state"), none.alias("tie"), F.when(key % 7 == 0, "110").when(key % 7 == 1, "10").otherwise("").alias("voltage"))
+    cases = spark.range(20).select(F.col("id").alias("case_id"), F.lit("10.5").cast("decimal(38,18)").alias("nominal"), (F.col("id") != 18).alias("headed"), F.when(F.col("id") == 19, F.array(F.lit("HARD"))).alias("hard"), (F.col("id") == 17).alias("malformed"))
+    kept = switch.where(F.substring("entity_id", 2, 20).cast("long") % 31 == 0).select("case_id", "kind", "entity_id")
+    ports = line.select("case_id", "record", F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("end1").alias("node")), F.struct(F.lit(2).alias("side"), F.col("end2").alias("node")))).alias("p")).select("case_id", "record", "p.*").where("node like 'c%'")
+    present = line.where("record like '%7'").select("case_id", F.col("entity_id").alias("line_id"))
+    return switch.unionByName(line).unionByName(bus_), cases, kept, ports, present
+
+
+_RECOVERY = """o AS (SELECT o_orderkey AS key, o_custkey % 20 AS case_id, 'c' || o_custkey AS near, 'c' || (o_custkey + 20) AS far, o_orderstatus, o_orderpriority, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+bus AS (SELECT c_custkey % 20 AS case_id, 'c' || c_custkey AS raw, CASE WHEN c_custkey % 29 = 0 THEN 'REGION' ELSE 'BUS' END AS kind, c_custkey % 7 = 0 AS wrong FROM customer WHERE c_custkey % 19 <> 0),
+line AS (SELECT o.case_id, o.key, 'l' || concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_id, l_partkey % 23 <> 0 AS uniq, l_linenumber = 1 AS first, near, far, count(*) OVER (PARTITION BY o.case_id, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)) AS same FROM lineitem JOIN o ON l_orderkey = o.key),
+inc AS (SELECT case_id, key, count(*) AS n_ends, count(DISTINCT line_id) AS n_lines, count(*) FILTER (WHERE first) AS n_in, count(*) FILTER (WHERE NOT first) AS n_out, bool_and(uniq) AS lines_unique FROM line GROUP BY ALL),
+dev AS (SELECT o.*, i.* EXCLUDE (case_id, key), CASE WHEN o.key % 11 = 0 THEN 'TRANSFORMER' WHEN o.key % 13 = 0 THEN 'ACCESS_POINT' ELSE 'SWITCH' END AS kind, CASE WHEN o.key % 5 = 3 THEN far ELSE near END AS end1, CASE WHEN n = 1 THEN '' WHEN o.key % 5 = 3 THEN near WHEN o.key % 5 = 4 THEN NULL ELSE far END AS end2,
+  o.key % 17 <> 0 AS sole, o.key % 31 = 0 AS kept, o_orderstatus IN ('F', 'O') AS known, o_orderpriority NOT LIKE '1%' AS ordinary FROM o JOIN inc i ON i.case_id = o.case_id AND i.key = o.key),
+e AS (SELECT dev.*, p.kind AS p_kind, p.wrong AS p_wrong, q.kind AS q_kind, q.wrong AS q_wrong, x.kind AS x_kind, x.wrong AS x_wrong, y.kind AS y_kind, y.wrong AS y_wrong FROM dev LEFT JOIN bus p ON p.case_id = dev.case_id AND p.raw = CASE WHEN n_in > 0 THEN near END LEFT JOIN bus q ON q.case_id = dev.case_id AND q.raw = end1 LEFT JOIN bus x ON x.case_id = dev.case_id AND x.raw = CASE WHEN n_out > 0 THEN far END LEFT JOIN bus y ON y.case_id = dev.case_id AND y.raw = end2),
+f AS (SELECT *, kind = 'SWITCH' AS switch, kind = 'SWITCH' AND n_lines = 2 AS series, n_in = 1 AND n_out = CASE WHEN n_lines = 2 THEN 1 ELSE 0 END AS sided, CASE WHEN kind = 'SWITCH' THEN CASE n_lines WHEN 2 THEN 'SERIES_SWITCH_RECOVERY' WHEN 1 THEN 'SWITCH_TERMINAL_REPRESENTATION' ELSE 'OTHER_DETERMINISTIC_REVIEW' END WHEN kind = 'TRANSFORMER' THEN CASE WHEN n_lines > 1 THEN 'MULTI_INCOMING_TRANSFORMER_REVIEW' ELSE 'REFERENCED_TRANSFORMER_RECOVERY' END ELSE 'ACCESS_POINT_RECOVERY' END AS family FROM e),
+g AS (SELECT *, list_sort(list_distinct(list_filter([CASE WHEN n_lines > 2 THEN 'INCIDENCE_NOT_SUPPORTED' END, CASE WHEN case_id = 17 THEN 'MALFORMED_LINE_EVIDENCE' END, CASE WHEN NOT known THEN 'KNOWN_STATE_REQUIRED' END, CASE WHEN NOT ordinary THEN 'ORDINARY_SWITCH_REQUIRED' END, CASE WHEN case_id = 18 THEN 'ACCEPTED_HEAD_REQUIRED' END,
+  CASE WHEN n_lines > 2 OR n_ends <> n_lines OR NOT lines_unique THEN 'FULL_UNIQUE_INCIDENCE_REQUIRED' END, CASE WHEN NOT sided THEN 'INCIDENCE_DIRECTION_REQUIRED' END,
+  CASE WHEN sided AND (p_kind IS NULL OR q_kind IS NULL OR (series AND (x_kind IS NULL OR y_kind IS NULL))) THEN 'EXACT_OUTER_REFERENCE_REQUIRED' END, CASE WHEN sided AND ((p_kind IS NOT NULL AND q_kind IS NOT NULL AND near <> end1) OR (series AND x_kind IS NOT NULL AND y_kind IS NOT NULL AND far <> end2)) THEN 'DIRECT_DECLARATIONS_REQUIRED' END,
+  CASE WHEN sided AND ((p_kind = 'REGION' AND q_kind IS NOT NULL) OR (series AND x_kind = 'REGION' AND y_kind IS NOT NULL)) THEN 'UNSUPPORTED_OUTER_ENTITY_TYPE' END, CASE WHEN sided AND ((p_kind IS NOT NULL AND q_kind IS NOT NULL AND (p_wrong OR q_wrong)) OR (series AND x_kind IS NOT NULL AND y_kind IS NOT NULL AND (x_wrong OR y_wrong))) THEN 'INCOMPATIBLE_VOLTAGE' END,
+  CASE WHEN sided AND NOT series AND coalesce(end2, '') <> '' THEN 'REMOTE_ENDPOINT_NOT_EMPTY' END], lambda r: r IS NOT NULL))) AS asks FROM f),
+judged AS (SELECT case_id, kind, 'o' || key AS key, family, CASE WHEN NOT series THEN family WHEN NOT ordinary THEN 'SERIES_TIE_OR_UNKNOWN_TYPE' WHEN n_in <> 1 OR n_out <> 1 THEN 'SERIES_INVALID_INCIDENCE' WHEN p_kind IS NULL OR q_kind IS NULL OR x_kind IS NULL OR y_kind IS NULL THEN 'SERIES_UNRESOLVED_ENDPOINT' WHEN near = end1 AND far = end2 THEN 'SERIES_EXACT_DIRECT' WHEN near = end2 AND far = end1 THEN 'SERIES_EXACT_REVERSE' ELSE 'SERIES_DIFFERENT_OR_PARTIAL_ENDPOINT' END AS variant,
+  CASE WHEN NOT sole OR case_id = 19 THEN 'REJECTED' WHEN kept AND kind <> 'ACCESS_POINT' THEN 'BASELINE_PRESERVED' WHEN NOT switch THEN 'NEEDS_REVIEW' WHEN len(asks) = 0 THEN 'ACCEPTED' WHEN list_has_any(asks, ['INCOMPATIBLE_VOLTAGE', 'FULL_UNIQUE_INCIDENCE_REQUIRED', 'MALFORMED_LINE_EVIDENCE']) THEN 'REJECTED' ELSE 'NEEDS_REVIEW' END AS status,
+  array_to_string(CASE WHEN NOT sole OR case_id = 19 THEN list_filter([CASE WHEN case_id = 19 THEN 'HARD' END, CASE WHEN NOT sole THEN 'IDENTITY_NOT_UNIQUE' END], lambda r: r IS NOT NULL) WHEN kind = 'TRANSFORMER' THEN [CASE WHEN kept THEN 'EXISTING_V1_MV_ATTACHMENT' WHEN n_lines > 1 THEN 'MULTIPLE_POSSIBLE_PORTS' ELSE 'DECLARED_REFERENCE_PORT_SEMANTICS_UNPROVEN' END]
+    WHEN NOT switch THEN ['ACCESS_POINT_PHYSICAL_ROLE_UNPROVEN'] WHEN kept THEN ['EXISTING_V1_SWITCH'] WHEN len(asks) > 0 THEN asks WHEN series THEN ['EXACT_DIRECT_SERIES'] ELSE ['EXACT_LEAF_UNBOUND_REMOTE'] END, ',') AS reasons, n_lines, o_orderstatus FROM g)"""
+
+
+@query(f"WITH {_RECOVERY} SELECT case_id, kind, key, family, variant, status, reasons, n_lines, status = 'ACCEPTED' AND o_orderstatus = 'F' AS conducting FROM judged")
+def q85_recovery_candidates(spark, d):
+    accounts, cases, kept, _, _ = _sources(spark, d)
+    return recovery.candidates(accounts, cases, kept).withColumn("reasons", F.array_join("reasons", ","))
+
+
+@query(f"""WITH {_RECOVERY} SELECT l.case_id, line_id, CASE WHEN first THEN near ELSE j.key || ':out' END AS a, CASE WHEN first THEN j.key || ':in' ELSE far END AS b, 1 AS n_dependencies FROM line l JOIN judged j ON j.case_id = l.case_id AND j.key = 'o' || l.key AND status = 'ACCEPTED' WHERE uniq AND same = 1 AND line_id NOT LIKE '%7' AND l.case_id <> 19""")
+def q86_recovered_lines(spark, d):
+    accounts, cases, kept, ports, present = _sources(spark, d)
+    return recovery.recovered_lines(accounts, cases, recovery.candidates(accounts, cases, kept), ports, present)

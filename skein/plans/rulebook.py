@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import graphs, identity, imports, references, rules
+from skein.operators import graphs, identity, imports, references, rules, tables
 from skein.plans import catalogue as K
 from skein.plans.catalogue import _BOTH, _COVERAGE, _EDGES, _GROUPS, _HEADS, _LIVE, _TRAFFIC, _t, query
 from skein.sinks import artifacts
@@ -241,7 +241,7 @@ def q54_cycle_basis(spark, d):
 # ---------------------------------------------------------------- import and archives
 
 
-def _archives(spark: SparkSession, d: str) -> DataFrame:
+def _members(spark: SparkSession, d: str) -> DataFrame:
     """An archive for each region, in it a folder for each nation, with a file of buses (customers) and one of stations (regions)."""
     nation = _t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     customer = _t(spark, d, "customer").join(F.broadcast(nation), "c_nationkey")
@@ -252,7 +252,14 @@ def _archives(spark: SparkSession, d: str) -> DataFrame:
     station = nation.select("n_regionkey", "c_nationkey", F.lit(0).cast("long").alias("place"), artifacts.csv_line(F.concat(F.lit("st"), "n_regionkey"), F.lit(""), F.lit("x"), F.lit("10"), F.lit(""), F.lit("")).alias("line"), F.lit("01_Station.csv").alias("file"))
     lines = bus.unionByName(station).groupBy("n_regionkey", "c_nationkey", "file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "line"))), lambda x: x["line"]), "\r\n").alias("body"))
     head = F.element_at(F.create_map(*(F.lit(x) for f in ("01_Station.csv", "02_Bus.csv") for x in (f, ",".join(registry.header(f))))), F.col("file"))
-    return artifacts.pack_archives(lines.select(F.format_string("region%d.zip", "n_regionkey").alias("archive"), F.concat(F.lit("cases/n"), "c_nationkey", F.lit("/"), "file").alias("member"), F.encode(F.concat(head, F.lit("\r\n"), "body"), "UTF-8").alias("content")))
+    return lines.select(F.format_string("region%d.zip", "n_regionkey").alias("archive"), F.concat(F.lit("cases/n"), "c_nationkey", F.lit("/"), "file").alias("member"), F.encode(F.concat(head, F.lit("\r\n"), "body"), "UTF-8").alias("content"))
+
+
+def _rows(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the archives, written as files and read again by ranges of members."""
+    made = artifacts.write_archives(_members(spark, d), f"{tables.Tables(spark).folder}/archives")
+    paths = [r.path for r in made.select("path").collect()]
+    return archives.read_archives(spark, sorted(paths), registry.headers()).withColumn("archive", F.substring_index("archive", "/", -1))
 
 
 _BUS = """bus AS (SELECT 'n' || c_nationkey AS case_key, CASE WHEN c_custkey % 50 <> 0 THEN (c_custkey % 700)::VARCHAR END AS id, c_mktsegment || ', "the" one' AS name, c_acctbal::DECIMAL(18,2) AS kv, c_custkey % 13 = 0 AS lost, c_custkey % 11 = 0 AS odd, c_custkey % 2 = 0 AS source, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS data_row, n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
@@ -260,14 +267,14 @@ _BUS = """bus AS (SELECT 'n' || c_nationkey AS case_key, CASE WHEN c_custkey % 5
 
 @query(f"""WITH {_BUS} SELECT 'region' || n_regionkey || '.zip' AS archive, 'zip-member:cases/' || case_key || '/02_Bus.csv#data-row=' || data_row AS record_ref, data_row::INT AS data_row, id AS bus_id, name AS bus_name, kv::DOUBLE AS base_kv, CASE WHEN NOT odd THEN source::VARCHAR END AS is_source FROM bus""")
 def q55_archive_round_trip(spark, d):
-    rows = imports.typed(archives.read_contents(_archives(spark, d), registry.headers()), "02_Bus.csv")
+    rows = imports.typed(_rows(spark, d), "02_Bus.csv")
     return rows.select("archive", "record_ref", "data_row", F.col("Bus_ID").alias("bus_id"), F.col("Bus_Name").alias("bus_name"), F.col("Bus_BaseKV").cast("double").alias("base_kv"), F.col("Bus_IsSource").cast("string").alias("is_source"))
 
 
 @query(f"""WITH {_BUS}, g AS (SELECT case_key, id, count(*) AS n FROM bus WHERE id IS NOT NULL GROUP BY ALL)
 SELECT case_key, CASE WHEN id IS NULL THEN 'REJECTED' WHEN n > 1 THEN 'DUPLICATE' WHEN lost THEN 'UNRESOLVED' ELSE 'MAPPED' END AS category, count(*) AS n_rows, sum((kv <= 0)::INT + odd::INT)::BIGINT AS n_issues FROM bus LEFT JOIN g USING (case_key, id) GROUP BY ALL""")
 def q56_import_categories(spark, d):
-    rows = archives.read_contents(_archives(spark, d), registry.headers())
+    rows = _rows(spark, d)
     bus = imports.with_identity(imports.typed(rows, "02_Bus.csv"), "Bus_ID")
     station = imports.published(imports.with_identity(imports.typed(rows, "01_Station.csv"), "Station_ID"), "Station_ID").select("case_key", F.col("Station_ID").alias("Bus_Station_ID"), F.lit(True).alias("resolved"))
     out = imports.categories(bus.join(station, ["case_key", "Bus_Station_ID"], "left"), "Bus_ID", F.coalesce("resolved", F.lit(False)))
@@ -276,7 +283,7 @@ def q56_import_categories(spark, d):
 
 @query("SELECT n.n_nationkey AS case_key, 'region' || n.n_regionkey || '.zip' AS archive, f AS file, 'cases/n' || n.n_nationkey || '/' || f AS member, true AS known, true AS safe FROM nation n, (SELECT unnest(['01_Station.csv', '02_Bus.csv']) AS f) WHERE f LIKE '01%' OR n_nationkey IN (SELECT c_nationkey FROM customer)")
 def q57_archive_inventory(spark, d):
-    found = archives.inventory(_archives(spark, d))
+    found = archives.inventory(artifacts.pack_archives(_members(spark, d)))
     return found.select(F.substring("case_key", 2, 9).cast("int").alias("case_key"), "archive", F.substring_index("member", "/", -1).alias("file"), "member", "known", "safe")
 
 

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import io
+import uuid
 import zipfile
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skein.operators.tables import Tables
+
 #: Records of one part file at most: a part is read whole when it is verified.
 PART = 1_000_000
 #: Fixed time of all members of an archive.
@@ -71,14 +75,18 @@ def verify(spark: SparkSession, path: str) -> DataFrame:
     return both.select(F.coalesce("t.file", "o.file").alias("file"), wrong.alias("violation")).where("violation is not null")
 
 
+def _add(z: zipfile.ZipFile, name: str, content: bytes) -> None:
+    info = zipfile.ZipInfo(name, STAMP)
+    info.compress_type, info.external_attr, info.create_system = zipfile.ZIP_DEFLATED, 0o644 << 16, 0
+    z.writestr(info, content)
+
+
 def archive_bytes(members: dict[str, bytes]) -> bytes:
     """A ZIP file that depends on its members' names and bytes alone."""
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name in sorted(members):
-            info = zipfile.ZipInfo(name, STAMP)
-            info.compress_type, info.external_attr, info.create_system = zipfile.ZIP_DEFLATED, 0o644 << 16, 0
-            z.writestr(info, members[name])
+            _add(z, name, members[name])
     return out.getvalue()
 
 
@@ -92,6 +100,62 @@ def pack_archives(members: DataFrame) -> DataFrame:
     return members.select("archive", "member", "content").groupBy("archive").applyInArrow(run, "path string, content binary, sha256 string")
 
 
+def write_archives(members: DataFrame, folder: str) -> DataFrame:
+    """Write (archive, member, content) as ZIP files in a folder that executors can open: path, sha256, n_members.
+
+    Members come sorted and go into the file one after another, so a task holds one member.  A file gets its name when it is whole: a task that is tried again writes
+    the same bytes anew.
+    """
+    schema = pa.schema([("path", pa.string()), ("sha256", pa.string()), ("n_members", pa.int64())])
+
+    def run(batches):
+        where, base = fs.FileSystem.from_uri(folder)
+        where.create_dir(base, recursive=True)
+        at, n, out, z, digest = None, 0, None, None, None
+
+        def close():
+            z.close()
+            out.close()
+            where.move(f"{base}/{at}.{token}", f"{base}/{at}")
+            return pa.RecordBatch.from_pylist([{"path": f"{folder.rstrip('/')}/{at}", "sha256": digest.hexdigest(), "n_members": n}], schema=schema)
+
+        token = uuid.uuid4().hex
+        for b in batches:
+            for archive, member, content in zip(*(b.column(c).to_pylist() for c in ("archive", "member", "content"))):
+                if archive != at:
+                    if at is not None:
+                        yield close()
+                    at, n, digest = archive, 0, hashlib.sha256()
+                    out = where.open_output_stream(f"{base}/{at}.{token}")
+                    z = zipfile.ZipFile(_Watched(out, digest), "w", zipfile.ZIP_DEFLATED)
+                _add(z, member, content)
+                n += 1
+        if at is not None:
+            yield close()
+
+    sorted_ = members.select("archive", "member", "content").repartition("archive").sortWithinPartitions("archive", "member")
+    made = sorted_.mapInArrow(run, "path string, sha256 string, n_members long")
+    return Tables(members.sparkSession).save(made)
+
+
+class _Watched(io.RawIOBase):
+    """A stream that is written once, from its start to its end, with the digest of what went by."""
+
+    def __init__(self, out, digest):
+        self.out, self.digest = out, digest
+
+    def writable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return False
+
+    def write(self, data) -> int:
+        self.digest.update(data)
+        self.out.write(bytes(data))
+        return len(data)
+
+
 def csv_line(*fields: Column) -> Column:
     """One CSV record without its end; fields are quoted where they must be, and null is empty."""
     text = [F.coalesce(f.cast("string"), F.lit("")) for f in fields]
