@@ -193,3 +193,77 @@ def topology_violations(nodes: DataFrame, edges: DataFrame, live: DataFrame, hea
     for f in found[1:]:
         out = out.unionByName(f)
     return out
+
+
+# Operations that a completion may ask for, and what forbids each; the names are those of the columns of facts.
+ANY_OPERATION = "*"
+PROHIBITIONS = [
+    (ANY_OPERATION, "OWNERSHIP_UNRESOLVED", "not ownership_confirmed or ownership_conflict"),
+    (ANY_OPERATION, "CROSS_CASE_CONNECTION", "cross_case_requested"),
+    (ANY_OPERATION, "KNOWN_OPEN_BYPASS", "open_bypass_requested"),
+    (ANY_OPERATION, "STATE_UNDETERMINED", "unknown_switch_state"),
+    (ANY_OPERATION, "VOLTAGE_UNDETERMINED", "not voltage_confirmed"),
+    (ANY_OPERATION, "EXISTING_NEGATIVE_SOURCE_EVIDENCE", "array_contains(flags, 'D') and size(explicit) = 0"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "NO_UNREFERENCED_TARGET", "unreferenced_count = 0"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "UNKNOWN_TRANSFORMER_SIDE", "not mv_side_confirmed"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "NO_ACCEPTED_BACKBONE", "not valid_head or not s0_usable"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "ATTACHMENT_REGION_UNDETERMINED", "accepted_junction_count <> 1"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "POLICY_APPROVAL_REQUIRED", "not placement_policy_approved"),
+    ("SYNTHETIC_ATTACHMENT_EDGE", "EXISTING_REFERENCE_REQUIRES_REVIEW", "array_contains(flags, 'C')"),
+    ("SYNTHETIC_LV_BUS", "NO_LOCATED_TRANSFORMER", "located_transformer_count = 0"),
+    ("SYNTHETIC_LV_BUS", "UNKNOWN_TRANSFORMER_SIDE", "not lv_side_confirmed"),
+    ("SYNTHETIC_LV_BUS", "POLICY_APPROVAL_REQUIRED", "not lv_policy_approved"),
+    ("SYNTHETIC_TRANSFORMER", "DUPLICATE_GENERATION", "target_count > 0"),
+    ("SYNTHETIC_TRANSFORMER", "ROLE_UNDETERMINED", "not distribution_role_confirmed"),
+    ("SYNTHETIC_TRANSFORMER", "DEMAND_EVIDENCE_MISSING", "not demand_confirmed"),
+    ("SYNTHETIC_TRANSFORMER", "DEVICE_COUNT_POLICY_REQUIRED", "not device_count_policy_approved"),
+    ("SYNTHETIC_TRANSFORMER", "UNKNOWN_TRANSFORMER_SIDE", "not lv_side_confirmed"),
+    ("SYNTHETIC_TRANSFORMER", "POLICY_APPROVAL_REQUIRED", "not capacity_source_policy_approved"),
+    ("SYNTHETIC_TRANSFORMER", "HIGH_RISK_AUTHORIZATION_REQUIRED", "true"),
+    ("SYNTHETIC_COMPONENT_BRIDGE", "UNSAFE_COMPONENT_BRIDGE", "true"),
+    ("SYNTHETIC_JUNCTION", "HIGH_RISK_AUTHORIZATION_REQUIRED", "true"),
+    ("SYNTHETIC_BACKBONE_EDGE", "HIGH_RISK_AUTHORIZATION_REQUIRED", "true"),
+]
+OPERATIONS = ["SYNTHETIC_ATTACHMENT_EDGE", "SYNTHETIC_JUNCTION", "SYNTHETIC_LV_BUS", "SYNTHETIC_TRANSFORMER", "SYNTHETIC_BACKBONE_EDGE", "SYNTHETIC_COMPONENT_BRIDGE"]
+
+
+def operation_prohibitions(facts: DataFrame) -> DataFrame:
+    """Facts with ``operations``: for each operation its name, whether it is eligible, and the sorted codes that forbid it.
+
+    ``explicit`` codes forbid every operation.  A fact that is null is not known: whatever it would confirm stays unconfirmed, and a count counts as none.
+    """
+    flags, numbers = ([f.name for f in facts.schema if f.dataType.typeName() in kinds] for kinds in (("boolean",), ("integer", "long")))
+    known = facts.na.fill(False, flags).na.fill(0, numbers)
+    explicit = F.coalesce("explicit", F.array().cast("array<string>"))
+    known = known.withColumn("explicit", explicit).withColumn("flags", F.coalesce("flags", F.array().cast("array<string>")))
+
+    def of(name: str) -> Column:
+        codes = F.array_union(C.all_reasons(*((F.expr(on), code) for op, code, on in PROHIBITIONS if op in (ANY_OPERATION, name))), F.col("explicit"))
+        return F.struct(F.lit(name).alias("operation"), (F.size(codes) == 0).alias("eligible"), F.array_sort(codes).alias("codes"))
+
+    return known.withColumn("operations", F.array(*map(of, OPERATIONS)))
+
+
+# The readiness that an action leaves a case in.
+ACTION_READINESS = {"BLOCKED_BY_SOURCE_CONFLICT": "BLOCKED", "ROLE_CONFIRMATION_REQUIRED": "ROLE_CONFIRMATION_REQUIRED", "ALREADY_TARGET_COMPLETE": "NOT_ELIGIBLE", "DETERMINISTIC_RULE_REVIEW": "RULE_REVIEW_REQUIRED", "INSUFFICIENT_STRUCTURE": "NOT_ELIGIBLE", "AUTO_SYNTHETIC_ELIGIBLE": "SYNTHETIC_ELIGIBLE"}
+
+
+def evaluate_completion(facts: DataFrame) -> DataFrame:
+    """``operation_prohibitions`` with the action that comes next (explicit codes and conflicts block first), the readiness that it leaves, and all codes."""
+    f = operation_prohibitions(facts)
+    c = F.col
+    attach = F.exists("operations", lambda o: (o["operation"] == "SYNTHETIC_ATTACHMENT_EDGE") & o["eligible"])
+    structure = c("valid_head") & (c("source_line_count") > 0) & (c("accepted_junction_count") > 0)
+    blocked = (F.size("explicit") > 0) | c("ownership_conflict") | c("cross_case_requested") | c("open_bypass_requested")
+    action = F.when(blocked, "BLOCKED_BY_SOURCE_CONFLICT").otherwise(completion_action(c("flags"), c("target_count"), c("s0_full"), c("s2_full"), c("s0_usable"), c("s2_usable"), structure, attach))
+    names = F.create_map(*(F.lit(x) for pair in ACTION_READINESS.items() for x in pair))
+    return f.withColumn("action", action).withColumn("readiness", F.element_at(names, F.col("action"))).withColumn("codes", F.array_sort(F.array_distinct(F.flatten(F.transform("operations", lambda o: o["codes"])))))
+
+
+# Why a reference is not taken from another case, in the order in which it is asked; a reason may be given twice.
+CROSS_CASE_GATES = [("many", "MULTIPLE_EXTERNAL_MATCH"), ("no_candidate", "NO_CANONICAL_CANDIDATE"), ("not_unique", "AMBIGUOUS_IDENTITY"), ("other_type", "TYPE_INCOMPATIBLE"), ("no_reference", "NO_CANONICAL_CANDIDATE"), ("other_voltage", "VOLTAGE_NOT_COMPATIBLE"), ("local", "ALSO_RESOLVES_CASE_LOCALLY"), ("blocked", "REFERRING_CASE_HARD_BLOCKER"), ("donor_blocked", "DONOR_CASE_HARD_BLOCKER"), ("other_tier", "TIER_NOT_MATERIALIZED")]
+
+
+def cross_case_reason(classification: Column, wanted: str, holds: dict[str, Column]) -> Column:
+    """The first of eleven gates that keeps a reference out (the first is its classification, unless that is the wanted one); empty if none does."""
+    return F.when(classification != wanted, classification).otherwise(C.first_reason(*((F.coalesce(holds[k], F.lit(False)), r) for k, r in CROSS_CASE_GATES), default=""))

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import forests, graphs, overlays, recovery
+from skein.operators import decisions, forests, graphs, overlays, recovery, references, scans
 from skein.plans import catalogue as K
 from skein.plans.catalogue import _BOTH, _EDGES, _HEADS, _LIVE, _t, query
 
@@ -249,3 +249,107 @@ def q85_recovery_candidates(spark, d):
 def q86_recovered_lines(spark, d):
     accounts, cases, kept, ports, present = _sources(spark, d)
     return recovery.recovered_lines(accounts, cases, recovery.candidates(accounts, cases, kept), ports, present)
+
+
+# ---------------------------------------------------------------- scans, summaries, contracts
+
+
+@query("""WITH raw AS (SELECT l_suppkey % 40 AS case_id, concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record, concat('p', l_partkey, ',s', l_suppkey, ',o', l_orderkey % 100) AS raw FROM lineitem),
+found AS (SELECT DISTINCT case_id, record, unnest(regexp_extract_all(raw, '[ps][0-9]+')) AS name FROM raw), wanted AS (SELECT 'p' || p_partkey AS name FROM part WHERE p_size = 1 UNION SELECT 's' || s_suppkey FROM supplier WHERE s_acctbal < 0 UNION SELECT 'nowhere')
+SELECT name, case_id, count(DISTINCT record) AS n_records, min(record) AS first_record FROM found SEMI JOIN wanted USING (name) GROUP BY ALL""")
+def q87_wanted_definitions(spark, d):
+    item = _t(spark, d, "lineitem")
+    raw = F.concat(F.lit("p"), "l_partkey", F.lit(",s"), "l_suppkey", F.lit(",o"), F.col("l_orderkey") % 100)
+    rows = item.select((F.col("l_suppkey") % 40).alias("case_id"), F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("record"), raw.alias("raw"))
+    wanted = _t(spark, d, "part").where("p_size = 1").select(F.concat(F.lit("p"), "p_partkey").alias("name")).unionByName(_t(spark, d, "supplier").where("s_acctbal < 0").select(F.concat(F.lit("s"), "s_suppkey").alias("name"))).unionByName(spark.range(1).select(F.lit("nowhere").alias("name")))
+    return scans.wanted_definitions(rows, "[ps][0-9]+", wanted)
+
+
+_SETS = {"all": [], "status": ["status"], "status_band": ["status", "band"], "band_flag": ["band", "flag"], "nation": ["nation"]}
+_VALUES = {"status": ["F", "O", "P", "X"], "band": ["LOW", "MIDDLE", "HIGH"], "flag": ["A", "N", "R", "Z"]}
+
+
+def _sets_sql() -> str:
+    dims = ["status", "band", "flag", "nation"]
+    out = []
+    for name, ds in _SETS.items():
+        on = " AND ".join(f"i.{d} = s.{d}" for d in ds) or "true"
+        shell = ", ".join(f"(SELECT unnest({_VALUES[d]}) AS {d})" for d in ds if d in _VALUES) if ds and all(d in _VALUES for d in ds) else f"(SELECT DISTINCT {', '.join(ds)} FROM i)" if ds else "(SELECT 1)"
+        columns = ", ".join(f"s.{d}" if d in ds else f"NULL AS {d}" for d in dims)
+        columns_of = ", ".join(f"s.{d}" for d in ds)
+        out.append(f"SELECT '{name}' AS \"table\", {columns}, count(i.q) AS n, coalesce(sum(i.q), 0)::BIGINT AS quantity, count(i.q) FILTER (WHERE i.flag = 'R') AS returned FROM (SELECT * FROM {shell}) s LEFT JOIN i ON {on} {'GROUP BY ' + columns_of if ds else ''}")
+    return " UNION ALL ".join(out)
+
+
+@query(f"""WITH i AS (SELECT o_orderstatus AS status, CASE WHEN l_quantity < 17 THEN 'LOW' WHEN l_quantity < 34 THEN 'MIDDLE' ELSE 'HIGH' END AS band, l_returnflag AS flag, c_nationkey AS nation, l_quantity AS q FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey) {_sets_sql()}""")
+def q88_summary_tables(spark, d):
+    customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    order = _t(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderstatus").alias("status"))
+    item = _t(spark, d, "lineitem").select("l_orderkey", F.col("l_quantity").cast("long").alias("q"), F.col("l_returnflag").alias("flag"))
+    band = F.when(F.col("q") < 17, "LOW").when(F.col("q") < 34, "MIDDLE").otherwise("HIGH")
+    rows = item.join(order, "l_orderkey").join(customer, "o_custkey").withColumn("band", band)
+    return scans.summaries(rows, _SETS, _VALUES, {"n": F.count("*"), "quantity": F.sum("q"), "returned": F.count_if(F.col("flag") == "R")})
+
+
+_KNOWN = {
+    "ownership_confirmed": "key % 7 <> 0", "ownership_conflict": "key % 53 = 0", "cross_case_requested": "key % 59 = 0", "open_bypass_requested": "key % 61 = 0", "unknown_switch_state": "loose > 0", "voltage_confirmed": "key % 5 <> 0", "mv_side_confirmed": "key % 3 <> 0", "lv_side_confirmed": "key % 4 <> 0",
+    "valid_head": "balance > 0", "placement_policy_approved": "key % 2 = 0", "lv_policy_approved": "key % 6 <> 0", "distribution_role_confirmed": "key % 8 <> 0", "demand_confirmed": "key % 9 <> 0", "device_count_policy_approved": "key % 10 <> 0", "capacity_source_policy_approved": "key % 12 <> 0",
+    "s0_usable": "closed > 0", "s2_usable": "closed + open > 0", "s0_full": "targets > 0 AND closed = targets", "s2_full": "targets > 0 AND closed + open = targets",
+}
+_COUNTED = {"target_count": "targets", "unreferenced_count": "loose", "source_line_count": "targets", "accepted_junction_count": "key % 3", "located_transformer_count": "closed"}
+_CONTRACT = """o AS (SELECT o_custkey, count(*) AS targets, count(*) FILTER (WHERE o_orderstatus = 'P') AS loose, count(*) FILTER (WHERE o_orderstatus = 'F') AS closed, count(*) FILTER (WHERE o_orderstatus = 'O') AS open FROM orders GROUP BY ALL),
+b AS (SELECT c_custkey AS key, c_acctbal AS balance, coalesce(targets, 0) AS targets, coalesce(loose, 0) AS loose, coalesce(closed, 0) AS closed, coalesce(open, 0) AS open FROM customer LEFT JOIN o ON o_custkey = c_custkey),
+facts AS (SELECT *, loose > 0 AS fa, targets = 0 AS fb, key % 13 = 0 AS fc, balance < -500 AS fd, key % 71 = 0 AS banned, """ + ", ".join(f"{v} AS {k}" for k, v in (_KNOWN | _COUNTED).items()) + " FROM b)"
+
+
+def _codes_sql(operation: str) -> str:
+    plain = lambda on: on.replace("array_contains(flags, 'C')", "fc").replace("array_contains(flags, 'D') and size(explicit) = 0", "fd AND NOT banned")
+    cases = [f"CASE WHEN {plain(on)} THEN '{code}' END" for op, code, on in decisions.PROHIBITIONS if op in (decisions.ANY_OPERATION, operation)]
+    return f"list_sort(list_distinct(list_filter([{', '.join(cases)}, CASE WHEN banned THEN 'AMBIGUOUS_IDENTITY' END], lambda x: x IS NOT NULL)))"
+
+
+def _contract(spark: SparkSession, d: str) -> DataFrame:
+    s = F.col("o_orderstatus")
+    o = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("key")).agg(F.count("*").alias("targets"), F.count_if(s == "P").alias("loose"), F.count_if(s == "F").alias("closed"), F.count_if(s == "O").alias("open"))
+    b = _t(spark, d, "customer").select(F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance")).join(o, "key", "left").na.fill(0, ["targets", "loose", "closed", "open"])
+    flags = F.array_compact(F.array(F.when(F.col("loose") > 0, F.lit("A")), F.when(F.col("targets") == 0, F.lit("B")), F.when(F.expr("key % 13 = 0"), F.lit("C")), F.when(F.expr("balance < -500"), F.lit("D"))))
+    explicit = F.when(F.expr("key % 71 = 0"), F.array(F.lit("AMBIGUOUS_IDENTITY")))
+    return b.select("*", flags.alias("flags"), explicit.alias("explicit"), *(F.expr(v).alias(k) for k, v in (_KNOWN | _COUNTED).items()))
+
+
+@query(f"WITH {_CONTRACT} SELECT key, operation, len(codes) = 0 AS eligible, array_to_string(codes, ',') AS codes FROM (" + " UNION ALL ".join(f"SELECT key, '{op}' AS operation, {_codes_sql(op)} AS codes FROM facts" for op in decisions.OPERATIONS) + ")")
+def q89_operation_prohibitions(spark, d):
+    f = decisions.operation_prohibitions(_contract(spark, d)).select("key", F.inline("operations"))
+    return f.withColumn("codes", F.array_join("codes", ","))
+
+
+@query(f"""WITH {_CONTRACT} SELECT key, action, CASE action {' '.join(f"WHEN '{a}' THEN '{r}'" for a, r in decisions.ACTION_READINESS.items())} END AS readiness, n_codes FROM (SELECT key, CASE WHEN banned OR fd OR ownership_conflict OR cross_case_requested OR open_bypass_requested THEN 'BLOCKED_BY_SOURCE_CONFLICT' WHEN fb THEN 'ROLE_CONFIRMATION_REQUIRED' WHEN s0_full THEN 'ALREADY_TARGET_COMPLETE'
+  WHEN fc OR s2_full OR (s2_usable AND NOT s0_usable) THEN 'DETERMINISTIC_RULE_REVIEW' WHEN NOT valid_head OR source_line_count = 0 OR NOT (s0_usable OR s2_usable) OR accepted_junction_count = 0 THEN 'INSUFFICIENT_STRUCTURE' WHEN fa AND len({_codes_sql("SYNTHETIC_ATTACHMENT_EDGE")}) = 0 THEN 'AUTO_SYNTHETIC_ELIGIBLE' WHEN fa THEN 'ROLE_CONFIRMATION_REQUIRED' ELSE 'DETERMINISTIC_RULE_REVIEW' END AS action,
+  len(list_distinct(flatten([{', '.join(_codes_sql(op) for op in decisions.OPERATIONS)}])))::INT AS n_codes FROM facts)""")
+def q90_completion_readiness(spark, d):
+    return decisions.evaluate_completion(_contract(spark, d)).select("key", "action", "readiness", F.size("codes").alias("n_codes"))
+
+
+_GATED = """entity AS (SELECT s_nationkey AS case_id, (s_suppkey % 70)::VARCHAR AS ref, s_suppkey, s_acctbal FROM supplier), refs AS (SELECT o_orderkey AS reference_id, c_nationkey AS case_id, (o_orderkey % 90)::VARCHAR AS ref, o_totalprice, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+@query(f"""WITH {_GATED}, n AS (SELECT ref, case_id, count(*) AS n, min((s_suppkey, s_acctbal)) AS one FROM entity GROUP BY ALL), t AS (SELECT ref, sum(n) AS n FROM n GROUP BY ALL),
+r AS (SELECT refs.*, coalesce(n.n, 0) AS local, coalesce(t.n, 0) - coalesce(n.n, 0) AS foreign_, (SELECT min(one) FROM n m WHERE m.ref = refs.ref AND m.case_id <> refs.case_id) AS donor, (SELECT min(m.case_id) FROM n m WHERE m.ref = refs.ref AND m.case_id <> refs.case_id) AS donor_case FROM refs LEFT JOIN n ON n.ref = refs.ref AND n.case_id = refs.case_id LEFT JOIN t ON t.ref = refs.ref)
+SELECT reference_id, CASE WHEN foreign_ > 1 THEN 'MULTIPLE_EXTERNAL' WHEN foreign_ = 0 AND local > 0 THEN 'LOCAL_UNRESOLVED_ONLY' WHEN foreign_ = 0 THEN 'UNDEFINED_GLOBAL' WHEN reference_id % 41 = 0 THEN 'MULTIPLE_EXTERNAL_MATCH' WHEN reference_id % 43 = 0 THEN 'NO_CANONICAL_CANDIDATE' WHEN donor[2] < 0 THEN 'AMBIGUOUS_IDENTITY' WHEN o_orderpriority LIKE '1%' AND donor[1] % 2 = 0 THEN 'TYPE_INCOMPATIBLE' WHEN donor[1] % 19 = 0 THEN 'NO_CANONICAL_CANDIDATE'
+  WHEN o_totalprice > 300000 THEN 'VOLTAGE_NOT_COMPATIBLE' WHEN local > 0 THEN 'ALSO_RESOLVES_CASE_LOCALLY' WHEN case_id % 9 = 0 THEN 'REFERRING_CASE_HARD_BLOCKER' WHEN donor_case % 9 = 1 THEN 'DONOR_CASE_HARD_BLOCKER' WHEN case_id % 5 <> donor_case % 5 THEN 'TIER_NOT_MATERIALIZED' ELSE '' END AS reason FROM r""")
+def q91_cross_case_gates(spark, d):
+    entities = _t(spark, d, "supplier").select(F.col("s_nationkey").alias("case_id"), (F.col("s_suppkey") % 70).cast("string").alias("ref"), "s_suppkey", "s_acctbal")
+    customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("case_id"))
+    refs = _t(spark, d, "orders").join(customer, "o_custkey").select(F.col("o_orderkey").alias("reference_id"), "case_id", (F.col("o_orderkey") % 90).cast("string").alias("ref"), "o_totalprice", "o_orderpriority")
+    donors = entities.groupBy("ref", F.col("case_id").alias("donor_case")).agg(F.min(F.struct("s_suppkey", "s_acctbal")).alias("donor"))
+    known = references.across_cases(refs, entities).select("reference_id", "n_local", "n_foreign", "classification")
+    rows = refs.join(known, "reference_id")
+    # A reference with one foreign entity has at most two cases that hold it.
+    sole = rows.where("n_foreign = 1").join(donors, "ref").where("donor_case <> case_id")
+    rows = sole.unionByName(rows.where("n_foreign <> 1"), allowMissingColumns=True)
+    key, donor = F.col("reference_id"), F.col("donor.s_suppkey")
+    holds = {
+        "many": key % 41 == 0, "no_candidate": key % 43 == 0, "not_unique": F.col("donor.s_acctbal") < 0, "other_type": F.col("o_orderpriority").startswith("1") & (donor % 2 == 0), "no_reference": donor % 19 == 0, "other_voltage": F.col("o_totalprice") > 300000,
+        "local": F.col("n_local") > 0, "blocked": F.col("case_id") % 9 == 0, "donor_blocked": F.col("donor_case") % 9 == 1, "other_tier": F.col("case_id") % 5 != F.col("donor_case") % 5,
+    }
+    return rows.select("reference_id", decisions.cross_case_reason(F.col("classification"), "UNIQUE_EXTERNAL", holds).alias("reason"))
