@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.operators import decisions, forests, graphs, overlays, recovery, references, scans
+from skein.operators import decisions, forests, graphs, overlays, recovery, references, scans, topology
 from skein.plans import catalogue as K
 from skein.plans.catalogue import _BOTH, _EDGES, _HEADS, _LIVE, _t, query
 
@@ -353,3 +353,57 @@ def q91_cross_case_gates(spark, d):
         "local": F.col("n_local") > 0, "blocked": F.col("case_id") % 9 == 0, "donor_blocked": F.col("donor_case") % 9 == 1, "other_tier": F.col("case_id") % 5 != F.col("donor_case") % 5,
     }
     return rows.select("reference_id", decisions.cross_case_reason(F.col("classification"), "UNIQUE_EXTERNAL", holds).alias("reason"))
+
+
+# ---------------------------------------------------------------- interpretation
+
+
+def _interpreted(spark: SparkSession, d: str) -> topology.Topology:
+    """Orders as switches or transformers that mostly name nothing, their line items as lines from one customer (a bus) to another or to their nation's remainder (a station); suppliers as feeders."""
+    none = F.lit(None).cast("string")
+    o = _t(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust"), (F.col("o_custkey") % 20).alias("case_id"), "o_orderstatus")
+    row = lambda df, kind, record, id_, unique=F.lit(True), name=none, end1=none, end2=none, state=none, voltage=none: df.select("case_id", kind.alias("kind"), record.alias("record"), id_.alias("entity_id"), unique.alias("unique"), name.alias("name"), end1.alias("end1"), end2.alias("end2"), state.alias("state"), voltage.alias("voltage"))
+    key = F.concat(F.lit("o"), "key")
+    kind = F.when(F.col("key") % 11 == 0, "ACCESS_POINT").when(F.col("key") % 3 == 0, "TRANSFORMER").otherwise("SWITCH")
+    state = F.when(F.col("o_orderstatus") == "F", "Closed").when(F.col("o_orderstatus") == "O", "Open").otherwise("Ajar")
+    device = row(o, kind, F.concat(F.lit("r"), "key"), key, F.col("key") % 17 != 0, end1=F.when(F.col("key") % 7 == 0, F.concat(F.lit("c"), "cust")), state=state)
+    item = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber", "l_partkey", "l_suppkey").join(o, "key")
+    name = F.concat_ws(":", "key", "l_linenumber", "l_partkey", "l_suppkey")
+    first, near, far = F.col("l_linenumber") == 1, F.concat(F.lit("c"), "cust"), F.concat(F.lit("c"), F.col("cust") + 20)
+    line = row(item, F.lit("LINE"), F.concat(F.lit("l"), name), F.when(F.col("l_partkey") % 31 != 0, F.concat(F.lit("l"), name)), F.col("l_partkey") % 23 != 0, end1=F.when(~first, key).when(F.col("key") % 4 == 0, F.concat(F.lit("t"), F.col("case_id"))).otherwise(near), end2=F.when(first, key).when(F.col("key") % 13 == 0, "").otherwise(far))
+    c = _t(spark, d, "customer").withColumn("case_id", F.col("c_custkey") % 20)
+    ck = F.col("c_custkey")
+    bus = row(c, F.lit("BUS"), F.concat(F.lit("c"), ck), F.concat(F.lit("c"), ck), ck % 19 != 0, end1=F.concat(F.lit("t"), "case_id"), voltage=F.when(ck % 7 == 0, "110").when(ck % 7 == 1, "10").when(ck % 7 == 2, "ten").otherwise(""))
+    every = spark.range(20).withColumnRenamed("id", "case_id")
+    station = row(every, F.lit("STATION"), F.concat(F.lit("t"), "case_id"), F.concat(F.lit("t"), "case_id"))
+    head = _t(spark, d, "customer").groupBy((ck % 20).alias("case_id")).agg(F.max(F.when(ck % 19 != 0, ck)).alias("cust"))
+    feeder = row(head.where("case_id <> 3"), F.lit("FEEDER"), F.concat(F.lit("f"), "case_id"), F.concat(F.lit("f"), "case_id"), F.col("case_id") != 5, name=F.when(F.col("case_id") == 8, "20kV line").otherwise(F.lit("line")), end1=F.when(F.col("case_id") == 6, "gone").otherwise(F.concat(F.lit("c"), "cust")))
+    cases = every.select("case_id", F.when(F.col("case_id") % 8 == 0, "north 10 kV").otherwise("x110kvar").alias("name"), F.lit("10.5").cast("decimal(38,18)").alias("fallback"))
+    return topology.interpret(device.unionByName(line).unionByName(bus).unionByName(station).unionByName(feeder), cases)
+
+
+_INTERPRETED = """o AS (SELECT o_orderkey AS key, o_custkey AS cust, o_custkey % 20 AS case_id, o_orderstatus FROM orders),
+line AS (SELECT o.case_id, o.key, l_linenumber = 1 AS first, 'l' || concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS record, l_partkey % 31 <> 0 AS has_id, l_partkey % 23 <> 0 AS uniq, cust,
+  CASE WHEN l_linenumber > 1 THEN 'o' || key WHEN key % 4 = 0 THEN 't' || o.case_id ELSE 'c' || cust END AS end1, CASE WHEN l_linenumber = 1 THEN 'o' || key WHEN key % 13 = 0 THEN '' ELSE 'c' || (cust + 20) END AS end2 FROM lineitem JOIN o ON l_orderkey = o.key),
+lines AS (SELECT *, has_id AND count(*) OVER (PARTITION BY case_id, record) = 1 AS once FROM line),
+inc AS (SELECT case_id, raw, count(*) AS ends, count(DISTINCT CASE WHEN has_id THEN record END) AS n, count(*) FILTER (WHERE side = 1) AS outgoing, count(*) FILTER (WHERE side = 2) AS incoming, bool_and(once) AS once FROM (SELECT *, 1 AS side, end1 AS raw FROM lines UNION ALL SELECT *, 2, end2 FROM lines) WHERE raw LIKE 'o%' GROUP BY ALL),
+head AS (SELECT c AS case_id, c = 8 AS conflict, CASE WHEN c = 3 THEN 'MISSING_FEEDER' WHEN c = 5 THEN 'AMBIGUOUS_FEEDER' WHEN c = 6 THEN 'INVALID_FEEDER_BUS' WHEN c = 8 THEN 'NAME_VOLTAGE_CONFLICT' END AS reason, CASE WHEN c = 3 THEN '' ELSE 'f' || c END AS owner FROM range(20) AS r(c)),
+device AS (SELECT o.case_id, o.key, kind, CASE WHEN kind = 'ACCESS_POINT' THEN 'ACCESS_POINT_UNSUPPORTED' WHEN o.key % 17 = 0 THEN 'IDENTITY_NOT_UNIQUE' WHEN NOT coalesce(once, true) THEN 'INCIDENT_IDENTITY_CONFLICT' WHEN coalesce(n, 0) <> need THEN kind || '_DEGREE' WHEN incoming <> 1 OR outgoing <> need - 1 OR ends <> need THEN kind || '_DIRECTION' WHEN o.key % 7 = 0 THEN 'EXPLICIT_ENDPOINT_EVIDENCE' WHEN o.case_id = 8 THEN 'NAME_VOLTAGE_CONFLICT' END AS reason
+  FROM (SELECT *, CASE WHEN key % 11 = 0 THEN 'ACCESS_POINT' WHEN key % 3 = 0 THEN 'TRANSFORMER' ELSE 'SWITCH' END AS kind, CASE WHEN key % 3 = 0 THEN 1 ELSE 2 END AS need FROM o) o LEFT JOIN inc i ON i.case_id = o.case_id AND i.raw = 'o' || o.key),
+bus AS (SELECT c_custkey % 20 AS case_id, 'c' || c_custkey AS raw, c_custkey % 19 <> 0 AS sole, c_custkey % 7 AS v FROM customer),
+ends AS (SELECT e.case_id, e.record, e.side, CASE WHEN e.raw = '' THEN 'MISSING_REFERENCE' WHEN e.raw LIKE 'c%' AND b.raw IS NULL THEN 'UNRESOLVED_REFERENCE' WHEN (e.raw LIKE 'c%' AND NOT b.sole) OR (e.raw LIKE 'o%' AND e.key % 17 = 0) THEN 'IDENTITY_NOT_UNIQUE' WHEN e.case_id = 8 THEN 'NAME_VOLTAGE_CONFLICT' WHEN b.v = 2 THEN 'INVALID_VOLTAGE_EVIDENCE' WHEN b.v = 0 THEN 'BUS_VOLTAGE_CONFLICT'
+  WHEN e.raw LIKE 't%' AND e.case_id IN (3, 5, 6, 8) THEN 'NO_FEEDER_HEAD' WHEN e.raw LIKE 'o%' THEN d.reason END AS reason FROM (SELECT *, 1 AS side, end1 AS raw FROM lines UNION ALL SELECT *, 2, end2 FROM lines) e LEFT JOIN bus b ON b.case_id = e.case_id AND b.raw = e.raw LEFT JOIN device d ON d.case_id = e.case_id AND 'o' || d.key = e.raw),
+whole AS (SELECT l.case_id, l.record, CASE WHEN NOT l.uniq OR NOT l.once THEN 'IDENTITY_NOT_UNIQUE' WHEN count(e.reason) > 0 THEN 'LINE_ENDPOINT_EXCLUDED' END AS reason FROM lines l JOIN ends e ON e.case_id = l.case_id AND e.record = l.record GROUP BY l.case_id, l.record, l.uniq, l.once),
+said AS (SELECT case_id, 'FEEDER_HEAD' AS rule, owner, NULL::INT AS side, reason FROM head UNION ALL SELECT case_id, kind, 'o' || key, NULL, reason FROM device UNION ALL SELECT case_id, 'LINE_END', record, side, reason FROM ends UNION ALL SELECT case_id, 'LINE', record, NULL, reason FROM whole)"""
+
+
+@query(f"""WITH {_INTERPRETED} SELECT *, CASE WHEN reason IS NULL THEN 'PROJECTED' WHEN reason IN ('AMBIGUOUS_FEEDER', 'IDENTITY_NOT_UNIQUE') THEN 'AMBIGUOUS' WHEN reason IN ('MISSING_REFERENCE', 'UNRESOLVED_REFERENCE', 'MISSING_FEEDER', 'INVALID_FEEDER_BUS', 'NO_FEEDER_HEAD') THEN 'UNRESOLVED' WHEN reason LIKE '%UNSUPPORTED' THEN 'UNSUPPORTED' ELSE 'EXCLUDED' END AS status FROM said""")
+def q92_topology_decisions(spark, d):
+    return _interpreted(spark, d).decisions
+
+
+@query(f"""WITH RECURSIVE {_INTERPRETED}, node_of AS (SELECT e.case_id, e.record, e.side, CASE WHEN raw LIKE 't%' THEN 'head:f' || e.case_id WHEN raw LIKE 'c%' THEN 'bus:' || raw WHEN d.kind = 'TRANSFORMER' THEN 'transformer:' || raw ELSE 'switch:' || raw || CASE side WHEN 2 THEN ':in' ELSE ':out' END END AS node FROM (SELECT *, 1 AS side, end1 AS raw FROM lines UNION ALL SELECT *, 2, end2 FROM lines) e LEFT JOIN device d ON d.case_id = e.case_id AND 'o' || d.key = raw),
+b AS (SELECT w.case_id, x.node AS a, y.node AS b FROM whole w JOIN node_of x ON x.case_id = w.case_id AND x.record = w.record AND x.side = 1 JOIN node_of y ON y.case_id = w.case_id AND y.record = w.record AND y.side = 2 WHERE reason IS NULL UNION ALL SELECT d.case_id, 'switch:o' || d.key || ':in', 'switch:o' || d.key || ':out' FROM device d JOIN o ON o.key = d.key WHERE kind = 'SWITCH' AND reason IS NULL AND o_orderstatus = 'F'),
+ways AS (SELECT case_id, a, b FROM b UNION SELECT case_id, b, a FROM b), r AS (SELECT case_id, 'head:' || owner AS node FROM head WHERE reason IS NULL UNION SELECT r.case_id, w.b FROM r JOIN ways w ON w.case_id = r.case_id AND w.a = r.node) SELECT case_id, node FROM r""")
+def q93_topology_reached(spark, d):
+    return _interpreted(spark, d).reached()
