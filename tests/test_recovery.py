@@ -2,9 +2,7 @@
 
 import random
 
-import pytest
-
-from skein.operators import recovery
+from skein.operators import graphs, recovery
 
 ACCOUNT = "case_id int, kind string, record string, entity_id string, unique boolean, end1 string, end2 string, state string, tie string, voltage string"
 
@@ -14,13 +12,19 @@ def _fixture():
     return {"a": row("BUS", "a", voltage="10"), "b": row("BUS", "b", voltage="10.5"), "s": row("SWITCH", "s", "a", "b", "Closed", "FALSE"), "in": row("LINE", "in", "a", "s"), "out": row("LINE", "out", "s", "b"), "t": row("TRANSFORMER", "t"), "u": row("TRANSFORMER", "u", "a")}
 
 
-def _judge(spark, rows, hard=None, headed=True, kept=(), malformed=False):
+def _judge(spark, cases):
+    """One call for all: each case is (rows, options); returns judged devices and lines by case."""
+    rows = [(i, *r[1:]) for i, (own, _) in enumerate(cases) for r in own]
+    told = [(i, o.get("hard"), o.get("headed", True), o.get("malformed", False)) for i, (_, o) in enumerate(cases)]
     accounts = spark.createDataFrame(rows, ACCOUNT)
-    cases = spark.createDataFrame([(1, hard, headed, malformed)], "case_id int, hard array<string>, headed boolean, malformed boolean").selectExpr("*", "cast(10.5 as decimal(38,18)) as nominal")
-    judged = recovery.candidates(accounts, cases, spark.createDataFrame(list(kept), "case_id int, kind string, entity_id string"))
-    ports = spark.createDataFrame([(1, "r-in", 1, "node-a"), (1, "r-out", 2, "node-b")], "case_id int, record string, side int, node string")
-    lines = recovery.recovered_lines(accounts, cases, judged, ports, spark.createDataFrame([], "case_id int, line_id string"))
-    return {r.key: r for r in judged.collect()}, sorted((r.line_id, r.a, r.b, r.n_dependencies) for r in lines.collect())
+    about = spark.createDataFrame(told, "case_id int, hard array<string>, headed boolean, malformed boolean").selectExpr("*", "cast(10.5 as decimal(38,18)) as nominal")
+    kept = spark.createDataFrame([(i, *k) for i, (_, o) in enumerate(cases) for k in o.get("kept", ())], "case_id int, kind string, entity_id string")
+    judged = graphs._cut(recovery.candidates(accounts, about, kept))
+    ports = spark.createDataFrame([(i, *p) for i in range(len(cases)) for p in (("r-in", 1, "node-a"), ("r-out", 2, "node-b"))], "case_id int, record string, side int, node string")
+    lines = recovery.recovered_lines(accounts, about, judged, ports, spark.createDataFrame([], "case_id int, line_id string")).collect()
+    by = lambda got, i: [r for r in got if r.case_id == i]
+    found = judged.collect()
+    return [({r.key: r for r in by(found, i)}, sorted((r.line_id, r.a, r.b, r.n_dependencies) for r in by(lines, i))) for i in range(len(cases))]
 
 
 def _with(**changes):
@@ -32,17 +36,17 @@ def _with(**changes):
 
 
 def test_a_direct_pair_is_accepted_with_its_lines(spark):
-    rows = _with()
-    got, lines = _judge(spark, rows)
+    rows, mixed = _with(), _with()
+    random.Random(1).shuffle(mixed)
+    (got, lines), (other, same) = _judge(spark, [(rows, {}), (mixed, {})])
     assert (got["s"].variant, got["s"].status, got["s"].reasons, got["s"].conducting) == ("SERIES_EXACT_DIRECT", "ACCEPTED", ["EXACT_DIRECT_SERIES"], True)
     assert lines == [("in", "node-a", "s:in", 1), ("out", "s:out", "node-b", 1)]
     # A transformer that nothing names is no candidate; one that names a bus is to be reviewed.
     assert "t" not in got and got["u"].reasons == ["DECLARED_REFERENCE_PORT_SEMANTICS_UNPROVEN"]
-    random.Random(1).shuffle(rows)
-    assert _judge(spark, rows) == (got, lines)
+    assert same == lines and {k: r[1:] for k, r in other.items()} == {k: r[1:] for k, r in got.items()}
 
 
-@pytest.mark.parametrize("changes, more, options, status, reasons", [
+CHANGES = [
     ({"s": {"end1": "b", "end2": "a"}}, [], {}, "NEEDS_REVIEW", ["DIRECT_DECLARATIONS_REQUIRED"]),
     ({"s": {"state": "Ajar"}}, [], {}, "NEEDS_REVIEW", ["KNOWN_STATE_REQUIRED"]),
     ({"s": {"tie": ""}}, [], {}, "NEEDS_REVIEW", ["ORDINARY_SWITCH_REQUIRED"]),
@@ -57,16 +61,18 @@ def test_a_direct_pair_is_accepted_with_its_lines(spark):
     ({}, [], {"hard": ["TWO_FEEDERS"]}, "REJECTED", ["TWO_FEEDERS"]),
     ({}, [], {"headed": False}, "NEEDS_REVIEW", ["ACCEPTED_HEAD_REQUIRED"]),
     ({}, [], {"malformed": True}, "REJECTED", ["MALFORMED_LINE_EVIDENCE"]),
-    ({}, [], {"kept": [(1, "SWITCH", "s")]}, "BASELINE_PRESERVED", ["EXISTING_V1_SWITCH"]),
-])
-def test_what_keeps_a_switch_out(spark, changes, more, options, status, reasons):
-    got, lines = _judge(spark, _with(**changes) + more, **options)
-    assert (got["s"].status, got["s"].reasons, lines) == (status, reasons, [])
+    ({}, [], {"kept": [("SWITCH", "s")]}, "BASELINE_PRESERVED", ["EXISTING_V1_SWITCH"]),
+]
+
+
+def test_what_keeps_a_switch_out(spark):
+    got = _judge(spark, [(_with(**changes) + more, options) for changes, more, options, _, _ in CHANGES])
+    for (found, lines), (*_, status, reasons) in zip(got, CHANGES):
+        assert (found["s"].status, found["s"].reasons, lines) == (status, reasons, [])
 
 
 def test_a_leaf_may_name_nothing_remote(spark):
-    rows = [r for r in _with(s={"end2": ""}) if r[3] != "out"]
-    got, lines = _judge(spark, rows)
+    leaf, remote = ([r for r in rows if r[3] != "out"] for rows in (_with(s={"end2": ""}), _with()))
+    (got, lines), (other, none) = _judge(spark, [(leaf, {}), (remote, {})])
     assert (got["s"].family, got["s"].status, lines) == (recovery.LEAF, "ACCEPTED", [("in", "node-a", "s:in", 1)])
-    got, lines = _judge(spark, [r for r in _with() if r[3] != "out"])
-    assert (got["s"].reasons, lines) == (["REMOTE_ENDPOINT_NOT_EMPTY"], [])
+    assert (other["s"].reasons, none) == (["REMOTE_ENDPOINT_NOT_EMPTY"], [])
