@@ -110,16 +110,24 @@ def resolve_endpoints(endpoints: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def identifier_features(a: Column, b: Column) -> dict[str, Column]:
-    """Features of a pair of identifiers, for reports only."""
+    """Features of a pair of identifiers, for reports only; ``suffix_equal`` is a map from the width, as text."""
     shorter = F.least(F.length(a), F.length(b))
-    common = F.when(shorter > 0, F.size(F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))), lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i)))).otherwise(0).cast("long")
+    places = F.sequence(F.lit(1), F.greatest(shorter, F.lit(1)))
+    prefix = F.when(shorter > 0, F.size(F.filter(places, lambda i: F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i)))).otherwise(0).cast("long")
     digits = a.rlike("^[0-9]+$") & b.rlike("^[0-9]+$")
     bare = lambda t: F.regexp_replace(t, "^0+(?=.)", "")
-    out = {
-        "exact_same": (a == b) & (a != ""), "numeric_but_different": digits & (a != b), "common_prefix": common, "differing_suffix": F.greatest(F.length(a), F.length(b)).cast("long") - common,
-        "same_length": F.length(a) == F.length(b), "scientific": C.suspicious_identifier(a) | C.suspicious_identifier(b), "leading_zero_only": digits & (a != b) & (bare(a) == bare(b)),
+    ends = [x for n in (1, 2, 3, 6) for x in (F.lit(str(n)), (shorter >= n) & (F.right(a, F.lit(n)) == F.right(b, F.lit(n))))]
+    # The names that reports carry.
+    return {
+        "exact_same": (a == b) & (a != ""),
+        "numeric_looking_but_different": digits & (a != b),
+        "common_prefix_length": prefix,
+        "differing_suffix_width": F.greatest(F.length(a), F.length(b)).cast("long") - prefix,
+        "same_length": F.length(a) == F.length(b),
+        "suffix_equal": F.create_map(*ends),
+        "scientific_notation": C.suspicious_identifier(a) | C.suspicious_identifier(b),
+        "leading_zero_only": digits & (a != b) & (bare(a) == bare(b)),
     }
-    return out | {f"suffix_{n}": (shorter >= n) & (F.right(a, F.lit(n)) == F.right(b, F.lit(n))) for n in (1, 2, 3, 6)}
 
 
 def dominance(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -143,14 +143,15 @@ _COMMON = "len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[:i]
 
 @query(f"""WITH p AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_linenumber WHEN 7 THEN '' WHEN 6 THEN '1E' || l_suppkey ELSE l_suppkey::VARCHAR END AS a, CASE WHEN l_partkey % 4 = 0 THEN '00' || l_suppkey WHEN l_partkey % 4 = 1 THEN l_suppkey || '_1' ELSE l_partkey::VARCHAR END AS b FROM lineitem),
 f AS (SELECT *, {_COMMON} AS common_prefix, regexp_full_match(a, '[0-9]+') AND regexp_full_match(b, '[0-9]+') AS digits FROM p)
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a = b AND a <> '' AS exact_same, digits AND a <> b AS numeric_but_different, common_prefix, greatest(len(a), len(b)) - common_prefix AS differing_suffix, len(a) = len(b) AS same_length, regexp_full_match(a, '[0-9]+E[0-9]+') AS scientific,
-  digits AND a <> b AND ltrim(a, '0') = ltrim(b, '0') AS leading_zero_only, {', '.join(f"len(a) >= {n} AND len(b) >= {n} AND right(a, {n}) = right(b, {n}) AS suffix_{n}" for n in (1, 2, 3, 6))} FROM f""")
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, a = b AND a <> '' AS exact_same, digits AND a <> b AS numeric_looking_but_different, common_prefix AS common_prefix_length, greatest(len(a), len(b)) - common_prefix AS differing_suffix_width, len(a) = len(b) AS same_length, regexp_full_match(a, '[0-9]+E[0-9]+') AS scientific_notation,
+  digits AND a <> b AND ltrim(a, '0') = ltrim(b, '0') AS leading_zero_only, {', '.join(f"len(a) >= {n} AND len(b) >= {n} AND right(a, {n}) = right(b, {n}) AS suffix_equal_{n}" for n in (1, 2, 3, 6))} FROM f""")
 def q67_identifier_features(spark, d):
     supplier, part, turn = F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"), F.col("l_partkey") % 4
     a = F.when(F.col("l_linenumber") == 7, "").when(F.col("l_linenumber") == 6, F.concat(F.lit("1E"), supplier)).otherwise(supplier)
     b = F.when(turn == 0, F.concat(F.lit("00"), supplier)).when(turn == 1, F.concat(supplier, F.lit("_1"))).otherwise(part)
     pairs = _t(spark, d, "lineitem").select(*KEY, a.alias("a"), b.alias("b"))
-    return pairs.select(*KEY, *(v.alias(k) for k, v in decisions.identifier_features(F.col("a"), F.col("b")).items()))
+    told = pairs.select(*KEY, *(v.alias(k) for k, v in decisions.identifier_features(F.col("a"), F.col("b")).items()))
+    return told.select("*", *(F.element_at("suffix_equal", F.lit(str(n))).alias(f"suffix_equal_{n}") for n in (1, 2, 3, 6))).drop("suffix_equal")
 
 
 @query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN epoch(o_orderdate)::BIGINT WHEN 1 THEN epoch(o_orderdate)::BIGINT - 28800 WHEN 2 THEN epoch(o_orderdate)::BIGINT + 12600 END AS epoch, CASE WHEN o_orderkey % 5 > 2 THEN 'INVALID_TIMESTAMP' END AS issue FROM orders""")

@@ -202,9 +202,9 @@ def q43_cross_case_gate(spark, d):
     customer = _t(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("case_id"))
     refs = _t(spark, d, "orders").join(customer, "o_custkey").select(F.col("o_orderkey").alias("reference_id"), "case_id", (F.col("o_orderkey") % 90).cast("string").alias("ref"), "o_totalprice", "o_orderpriority")
     # A ref with one foreign entity has at most two cases that hold it: one donor by ref and case is enough.
-    donors = entities.join(F.broadcast(region), "case_id", "left").groupBy("ref", F.col("case_id").alias("donor_case")).agg(F.min(F.struct("s_suppkey", "s_acctbal", "region")).alias("donor"))
+    donors = entities.join(region, "case_id", "left").groupBy("ref", F.col("case_id").alias("donor_case")).agg(F.min(F.struct("s_suppkey", "s_acctbal", "region")).alias("donor"))
     known = references.across_cases(refs, entities).select("reference_id", "n_local", "n_foreign", "classification")
-    rows = refs.join(known, "reference_id").join(F.broadcast(region), "case_id", "left")
+    rows = refs.join(known, "reference_id").join(region, "case_id", "left")
     sole = rows.where("n_foreign = 1").join(donors, "ref", "left").where("donor_case <> case_id")
     rows = sole.unionByName(rows.where("n_foreign <> 1"), allowMissingColumns=True)
     holds = {
@@ -244,7 +244,7 @@ def q54_cycle_basis(spark, d):
 def _members(spark: SparkSession, d: str) -> DataFrame:
     """An archive for each region, in it a folder for each nation, with a file of buses (customers) and one of stations (regions)."""
     nation = _t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
-    customer = _t(spark, d, "customer").join(F.broadcast(nation), "c_nationkey")
+    customer = _t(spark, d, "customer").join(nation, "c_nationkey")
     key = F.when(F.col("c_custkey") % 50 == 0, "").otherwise((F.col("c_custkey") % 700).cast("string"))
     named = F.when(F.col("c_custkey") % 13 == 0, "none").otherwise(F.concat(F.lit("st"), "n_regionkey"))
     source = F.when(F.col("c_custkey") % 11 == 0, "perhaps").when(F.col("c_custkey") % 2 == 0, "TRUE").otherwise("false")
