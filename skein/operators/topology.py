@@ -55,7 +55,7 @@ def interpret(accounts: DataFrame, cases: DataFrame) -> Topology:
     fields has a null entity_id and null ends.  Cases: case_id, name, fallback (decimal).
 
     A name's voltage goes before the fallback; names that tell two forbid all devices and ends.  A case has a head if one unique feeder names one unique bus.  A switch stands
-    between one incoming and one outgoing line, a transformer at the end of one, if all that names them is exact and they name nothing themselves.  A line stands if both its ends do.
+    between one incoming and one outgoing line, a transformer at the end of one, if all that names them is exact and they name nothing themselves.  A line stands if both its ends do.  Repeated rows are decided each.
     """
     t = Tables(accounts.sparkSession)
     accounts = t.save(accounts)

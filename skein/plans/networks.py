@@ -393,7 +393,7 @@ device AS (SELECT o.case_id, o.key, kind, CASE WHEN kind = 'ACCESS_POINT' THEN '
 bus AS (SELECT c_custkey % 20 AS case_id, 'c' || c_custkey AS raw, c_custkey % 19 <> 0 AS sole, c_custkey % 7 AS v FROM customer),
 ends AS (SELECT e.case_id, e.record, e.side, CASE WHEN e.raw = '' THEN 'MISSING_REFERENCE' WHEN e.raw LIKE 'c%' AND b.raw IS NULL THEN 'UNRESOLVED_REFERENCE' WHEN (e.raw LIKE 'c%' AND NOT b.sole) OR (e.raw LIKE 'o%' AND e.key % 17 = 0) THEN 'IDENTITY_NOT_UNIQUE' WHEN e.case_id = 8 THEN 'NAME_VOLTAGE_CONFLICT' WHEN b.v = 2 THEN 'INVALID_VOLTAGE_EVIDENCE' WHEN b.v = 0 THEN 'BUS_VOLTAGE_CONFLICT'
   WHEN e.raw LIKE 't%' AND e.case_id IN (3, 5, 6, 8) THEN 'NO_FEEDER_HEAD' WHEN e.raw LIKE 'o%' THEN d.reason END AS reason FROM (SELECT *, 1 AS side, end1 AS raw FROM lines UNION ALL SELECT *, 2, end2 FROM lines) e LEFT JOIN bus b ON b.case_id = e.case_id AND b.raw = e.raw LEFT JOIN device d ON d.case_id = e.case_id AND 'o' || d.key = e.raw),
-whole AS (SELECT l.case_id, l.record, CASE WHEN NOT l.uniq OR NOT l.once THEN 'IDENTITY_NOT_UNIQUE' WHEN count(e.reason) > 0 THEN 'LINE_ENDPOINT_EXCLUDED' END AS reason FROM lines l JOIN ends e ON e.case_id = l.case_id AND e.record = l.record GROUP BY l.case_id, l.record, l.uniq, l.once),
+whole AS (SELECT l.case_id, l.record, CASE WHEN NOT l.uniq OR NOT l.once THEN 'IDENTITY_NOT_UNIQUE' WHEN EXISTS (SELECT 1 FROM ends e WHERE e.case_id = l.case_id AND e.record = l.record AND e.reason IS NOT NULL) THEN 'LINE_ENDPOINT_EXCLUDED' END AS reason FROM lines l),
 said AS (SELECT case_id, 'FEEDER_HEAD' AS rule, owner, NULL::INT AS side, reason FROM head UNION ALL SELECT case_id, kind, 'o' || key, NULL, reason FROM device UNION ALL SELECT case_id, 'LINE_END', record, side, reason FROM ends UNION ALL SELECT case_id, 'LINE', record, NULL, reason FROM whole)"""
 
 
