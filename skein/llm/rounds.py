@@ -25,15 +25,19 @@ CHUNK_BYTES, SHARD_BYTES = 5 << 19, 8 << 20
 CHUNKS, SHARDS = 16, 8
 
 
+def chunks_of(docs: DataFrame) -> int:
+    """The number of chunks that documents are dealt into."""
+    return CHUNKS + common.size_bytes(docs) // CHUNK_BYTES
+
+
 def deal(docs: DataFrame) -> tuple[DataFrame, int]:
     """Documents with their chunk, dealt out by it; and the number of shards.
 
     Both numbers follow the size of the input, whatever the number of partitions: rows between chunks and shards
     are at most their product, and at most the number of keys.
     """
-    size = common.size_bytes(docs)
-    chunks, shards = CHUNKS + size // CHUNK_BYTES, SHARDS + size // SHARD_BYTES
-    chunk = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks)).cast("int")
+    shards = SHARDS + common.size_bytes(docs) // SHARD_BYTES
+    chunk = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(chunks_of(docs))).cast("int")
     return docs.withColumn("chunk", chunk).repartition(common.parts(docs), "chunk"), int(shards)
 
 

@@ -170,8 +170,12 @@ def test_language_codes_match_brute_force():
     trains = np.arange(30) % 3 > 0
     data, off = common.packed(pa.array(texts))
     t = mixing.Tokens(data, off)
-    _, key, doc, of = t.follows(1)
-    code = np.frombuffer(mixing._answer_follows([mixing._pack_follows(key)], [np.packbits(trains[doc]).tobytes()])[0], np.uint8)[of]
+    key, train, count, of = t.follows(trains)
+    code = np.frombuffer(mixing._answer_follows([mixing._pack_follows(key)], [mixing._pack_counts(train, count)])[0], np.uint8)[of]
+    opening = np.empty(len(t.openings(trains)[0]), mixing._OPENING)
+    opening["key"], opening["count"] = t.openings(trains)[:2]
+    first, second = mixing.opening_codes(t, trains, int(trains.sum()), np.frombuffer(mixing._answer_openings([opening.tobytes()])[0], np.uint32))
+    code = np.where(t.place == 0, first[t.doc], np.where(t.place == 1, second[t.doc], code))
     grams = [[(["", ""] + _tokens(x))[k : k + 3] for k in range(len(_tokens(x)))] for x in texts]
     holds = [set(map(tuple, g)) for g in grams]
     at = 0
@@ -188,6 +192,27 @@ def test_language_codes_match_brute_force():
     assert at == len(code)
 
 
+def test_language_asks_once_a_chunk():
+    """Neither a first token, an opening nor a phrase that all documents have brings a row for each document to a shard."""
+    texts = [f"w{i % 150} of {i % 3} one and the same phrase in all of them" for i in range(3000)]
+    chunk = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts), "chunk": pa.array([0] * len(texts), pa.int32())})
+    n = 8
+    asked = mixing._ask(n)(chunk, None).to_pylist()
+    follows = [len(r["keys"]) // mixing._FOLLOW for r in asked if n <= r["shard"] < 2 * n]
+    openings = [len(r["keys"]) // mixing._OPENING.itemsize for r in asked if r["shard"] >= 2 * n]
+    # After two predecessors: 450 times "3" after an opening, 3 times "one", 3 times "and", 7 more and the end; each of both folds.
+    assert sum(follows) <= 2 * (450 + 3 + 3 + 8) and sum(openings) == 300 and max(openings) < 80
+
+
+@pytest.mark.parametrize("many", [1, 64, 65, 5000])
+def test_sums_by_levels(spark, many):
+    rows = spark.range(500).selectExpr("cast(id AS int) AS chunk", "0 AS shard").collect()
+    vectors = [(r.chunk, r.shard, np.array([r.chunk, 1.0]).tobytes()) for r in rows]
+    got = mixing._collect(spark.createDataFrame(vectors, "chunk int, shard int, keys binary"), many)
+    assert got.tolist() == [500 * 499 / 2, 500]
+    assert mixing._collect(spark.createDataFrame([], "chunk int, shard int, keys binary"), many) is None
+
+
 def test_language_learns(spark):
     """Texts of a fixed form that is held out cost fewer bits than by the base, and unknown words cost the more the longer they are."""
     texts = [(i, f"the quick brown fox number {i % 9} jumps over the lazy dog and runs home") for i in range(300)]
