@@ -3,7 +3,7 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from skein.plans import catalogue, decisions, experiments, networks, rulebook  # noqa: F401
+from skein.plans import assets, catalogue, decisions, experiments, networks, rulebook  # noqa: F401
 from skein.sources.archives import read_member, split_records
 
 DIR = "/root/testdata/sf0.001"
