@@ -293,3 +293,84 @@ def test_copies_are_indexed_once_a_slab():
     batch = lambda *t: pa.record_batch({"text": pa.array(t)})
     sent = lambda b: sorted((s, k, x) for r in jaccard._index(5, 80, 4)(iter([b])) for s, ks, xs in zip(*(r.column(c).to_pylist() for c in ("shard", "keys", "signatures"))) for k, x in zip(np.frombuffer(ks, np.uint64).tolist(), np.frombuffer(xs, np.uint32).tolist()))
     assert sent(batch(*texts[:1] * 500, texts[1], "", None)) == sent(batch(*texts)) and len(sent(batch(*texts))) > 4
+
+
+def _by_halves(mixer, low, high, at, below, own):
+    """The log10 probability of a rank, bit by bit."""
+    out = 0.0
+    while high - low > 1:
+        mid = (low + high) // 2
+        bit = at >= mid
+        odds = []
+        for counts, mine in zip(below, own):
+            n = [sum(counts[low:mid]), sum(counts[mid:high])]
+            n[bit] -= mine
+            odds.append(min(max(math.log((max(n[1], 0) + mixing.PRIOR) / (max(n[0], 0) + mixing.PRIOR)), -12), 12))
+        gate = min(int(math.log2(high - low)), mixing.HALVES - 1) * 3 + (odds[0] != 0) + (abs(odds[0]) > mixing.SURE)
+        p = mixer.predict(np.array([odds]), np.array([gate]))[0][0]
+        out += math.log10(p if bit else 1 - p)
+        low, high = (mid, high) if bit else (low, mid)
+    return out
+
+
+def test_language_tokens_by_mixed_bits(monkeypatch):
+    """A known token, and one that follows, are told by mixed bits as brute force tells them; the probabilities of all tokens sum to 1, and learning moves the weights."""
+    kept, learn = [], mixing.learned
+    monkeypatch.setattr(mixing, "learned", lambda *a: kept.append(learn(*a)) or kept[-1])
+    rng = np.random.default_rng(6)
+    n = 50
+    rows = np.empty(n * 8, mixing._COUNT)
+    rows["key"] = np.repeat(np.sort(rng.integers(1, 1 << 60, n, dtype=np.uint64)), 8)
+    rows["kind"], rows["own"] = np.tile([0, 0, 1, 1, 2, 2, 3, 3], n), np.tile([0, 2], 4 * n)
+    rows["count"] = np.where(rows["own"] > 0, 2 * rng.integers(0, 9, n * 8) * (rng.random(n * 8) < 0.4), 0)
+    got, head = mixing._answer_tokens([mixing._columns(rows[:160]), mixing._columns(rows[160:])])
+    got = np.concatenate([mixing._records(x, mixing._TOLD) for x in got])
+    log10 = got["steps"] / -mixing.FINE
+    keys = np.unique(rows["key"])
+    total = np.array([rows["count"][rows["key"] == k].sum() for k in keys])
+    keys = keys[total > 0]
+    all_, seen = ([int(f(rows[rows["key"] == k])) for k in keys] for f in (lambda r: r["count"].sum(), lambda r: (r["count"] > 0).sum()))
+    for kind in range(4):
+        of_kind = [int(rows["count"][(rows["key"] == k) & (rows["kind"] == kind)].sum()) for k in keys]
+        fresh = [float(log10[(rows["key"] == k) & (rows["kind"] == kind) & (rows["own"] == 0)][0]) for k in keys]
+        assert abs(sum(10**x for x in fresh) - 1) < 2e-3
+        for own in (0, 2):
+            for at, k in enumerate(keys):
+                if all_[at] > own:
+                    want = _by_halves(kept[0], 0, len(keys), at, (all_, of_kind, seen), (own, own, min(own, 1)))
+                    assert abs(float(log10[(rows["key"] == k) & (rows["kind"] == kind) & (rows["own"] == own)][0]) - want) < 1 / mixing.FINE + 1e-6
+    assert np.abs(kept[0].weights - 0.4).max() > 0.01
+    assert np.frombuffer(head, np.float64)[:3].tolist() == [len(keys), sum(all_), sum(seen)]
+
+    key = np.sort(rng.choice(np.arange(3 * 40, dtype=np.uint64), 90, replace=False))
+    key = (key // np.uint64(40)) << np.uint64(24) | key % np.uint64(40)
+    count = rng.integers(0, 6, 90)
+    key, train, count = np.concatenate((key, key[count > 0])), np.concatenate((np.zeros(90, bool), np.ones((count > 0).sum(), bool))), np.concatenate((np.zeros(90, np.int64), count[count > 0]))
+    order = np.lexsort((train, key))
+    key, train, count = key[order], train[order], count[order]
+    code = np.frombuffer(mixing._answer_follows([mixing._pack_follows(key)], [mixing._pack_counts(train, count)], mixed=True)[0], np.uint8)
+    share = np.frombuffer(mixing._answer_follows([mixing._pack_follows(key)], [mixing._pack_counts(train, count)])[0], np.uint8)
+    by = {k: int(count[key == k].sum()) for k in np.unique(key)}
+    anywhere = Counter()
+    for k, v in by.items():
+        anywhere[int(k) & 0xFFFFFF] += v
+    assert ((code < mixing.HIT) == (share < mixing.HIT)).all() and (code != share).any()
+    for k, t, c in zip(key, train, code):
+        inside = [x for x in by if int(x) >> 24 == int(k) >> 24 and by[x]]
+        if by[k] > t:
+            below = [by[x] for x in inside], [anywhere[int(x) & 0xFFFFFF] for x in inside], [1] * len(inside)
+            want = _by_halves(kept[1], 0, len(inside), inside.index(k), below, (t, t, t))
+            assert abs((c - mixing.HIT) * math.log10(mixing.SHARE) + want) <= math.log10(mixing.SHARE) + 1e-9
+
+
+def test_language_shards_by_mixed_bits():
+    """The probabilities of all shards sum to 1 for each kind, also for numbers of shards that are no power of two."""
+    rng = np.random.default_rng(7)
+    totals = np.zeros((11, mixing._TOTALS))
+    totals[:, 3:] = rng.integers(0, 90, (11, mixing.KINDS)) * (rng.random((11, mixing.KINDS)) < 0.5)
+    totals[:, 1], totals[:, 2] = totals[:, 3:].sum(axis=1), 20
+    shards = mixing.Shards(totals)
+    every = (np.arange(11, dtype=np.uint64) * np.uint64((1 << 64) // 11)) + np.uint64(1 << 40)
+    for kind in range(mixing.KINDS):
+        got = shards.log10(every, np.full(11, kind), np.zeros(11, np.int64))
+        assert abs((10**got).sum() - 1) < 1e-6
