@@ -1,6 +1,7 @@
 """Interpretation of source rows as a graph, in stages: heads, devices, line ends, lines.  Each stage has its decisions, and what it rejects goes on with its reason.
 
-Every stage is a few joins by case and raw text; rejected rows are never dropped, as the next stage has to say why it could not use them.
+Every stage is a few joins by case and raw text; rejected rows are never dropped, as the next stage has to say why it could not use them.  Lines, which are most of the
+rows, meet what they name once at each end and stay whole from there on; only what is repeated, found by counts, is looked at by identity or record again.
 """
 
 from __future__ import annotations
@@ -36,6 +37,27 @@ def _first(*gates: tuple[Column, str]) -> Column:
     return out
 
 
+def _end_reason(raw: Column, side: int) -> Column:
+    """Why a line's end has no node: of what it names (``to``), of its case, or of the device there."""
+    col = F.col
+    kind = col("to.target")
+    value, broken = C.to_decimal(col("to.voltage"))
+    fits = C.voltage_accepted(value, col("nominal"))
+    bus, station = kind == "BUS", kind == "STATION"
+    why = _first(
+        (absent(raw), "MISSING_REFERENCE"), (col("to.kinds").isNull(), "UNRESOLVED_REFERENCE"), (col("to.kinds") > 1, "AMBIGUOUS_REFERENCE"), (~col("to.sole"), "IDENTITY_NOT_UNIQUE"), (col("conflict"), "NAME_VOLTAGE_CONFLICT"),
+        (bus & (broken.isNotNull() | (value <= 0)), "INVALID_VOLTAGE_EVIDENCE"), (bus & value.isNotNull() & ~fits, "BUS_VOLTAGE_CONFLICT"), (station & F.lit(side != 1), "STATION_DIRECTION"), (station & col("head").isNull(), "NO_FEEDER_HEAD"),
+        (station & ~F.coalesce(col("head_station") == raw, F.lit(False)), "STATION_CHAIN_MISMATCH"), (kind == "ACCESS_POINT", "ACCESS_POINT_UNSUPPORTED"),
+    )
+    return F.coalesce(why, F.when(kind.isin("SWITCH", "TRANSFORMER"), col("to.device_reason")))
+
+
+def _place(raw: Column, side: int) -> Column:
+    kind = F.col("to.target")
+    port = ":in" if side == 2 else ":out"
+    return F.when(kind == "BUS", F.concat(F.lit("bus:"), raw)).when(kind == "STATION", F.col("head")).when(kind == "SWITCH", F.concat(F.lit("switch:"), raw, F.lit(port))).otherwise(F.concat(F.lit("transformer:"), raw))
+
+
 @dataclass
 class Topology:
     """decisions: case_id, rule, owner, side (of a line's end), status, reason; nodes: case_id, node, role, owner, voltage; branches: case_id, branch, role, a, b, conducting."""
@@ -80,10 +102,12 @@ def interpret(accounts: DataFrame, cases: DataFrame) -> Topology:
 
     # Devices, with what the lines at them tell.
     line = accounts.where("kind = 'LINE'")
-    repeated = line.where(given("entity_id")).groupBy("case_id", "entity_id").agg(F.count("*").alias("n"))
-    line = t.save(line.join(repeated, ["case_id", "entity_id"], "left").select("case_id", "record", "entity_id", "unique", "end1", "end2", F.coalesce(col("n") == 1, F.lit(False)).alias("once")))
-    ends = line.select("case_id", "record", "entity_id", "once", F.explode(F.array(*(F.struct(F.lit(n).alias("side"), col(f"end{n}").alias("raw")) for n in (1, 2)))).alias("e")).select("case_id", "record", "entity_id", "once", "e.*")
-    at = ends.where(given("raw")).groupBy("case_id", "raw").agg(F.count("*").alias("ends"), F.count_distinct("entity_id").alias("lines"), F.count_if(col("side") == 1).alias("outgoing"), F.count_if(col("side") == 2).alias("incoming"), F.min("once").alias("once"))
+    several = lambda df, c: t.save(df.where(col(c).isNotNull()).groupBy("case_id", c).agg(F.count("*").alias("n")).where("n > 1").select("case_id", c, F.lit(True).alias("more")))
+    line = line.join(several(line.where(given("entity_id")), "entity_id"), ["case_id", "entity_id"], "left").select("case_id", "record", "entity_id", "unique", "end1", "end2", (given("entity_id") & col("more").isNull()).alias("once"))
+    # Where all lines at a text have identities of their own, each is one of its lines, even if it names the text twice; else their number is not asked.
+    sides = F.array(*(F.struct(F.lit(n).alias("side"), col(f"end{n}").alias("raw"), (F.lit(n == 2) & (col("end1") == col("end2"))).alias("again")) for n in (1, 2)))
+    at = line.select("case_id", "once", F.explode(sides).alias("e")).select("case_id", "once", "e.*").where(given("raw")).groupBy("case_id", "raw")
+    at = at.agg(F.count("*").alias("ends"), (F.count("*") - F.count_if("again")).alias("lines"), F.count_if(col("side") == 1).alias("outgoing"), F.count_if(col("side") == 2).alias("incoming"), F.min("once").alias("once"))
     own = accounts.where(col("kind").isin(DEVICES)).withColumn("key", F.when(given("entity_id"), col("entity_id")).otherwise(col("record")))
     device = own.groupBy("case_id", "kind", "key").agg(F.count("*").alias("rows"), F.min("unique").alias("unique"), F.max(given("end1") | given("end2")).alias("explicit"), F.min("state").alias("state"), F.min(given("entity_id")).alias("named"))
     device = device.join(at.withColumnRenamed("raw", "key"), ["case_id", "key"], "left").na.fill(0, ["ends", "lines", "outgoing", "incoming"]).join(ids.select("case_id", col("raw").alias("key"), "kinds"), ["case_id", "key"], "left").join(about, "case_id")
@@ -98,24 +122,22 @@ def interpret(accounts: DataFrame, cases: DataFrame) -> Topology:
     device = t.save(device.select("case_id", "kind", "key", "nominal", F.when(col("reason").startswith("_"), prefix(col("reason"))).otherwise(col("reason")).alias("reason"), F.upper("state").alias("state")))
 
     # Line ends: what each names, and the node that it has there.
-    e = ends.join(named("raw", "to"), ["case_id", "raw"], "left").join(device.select("case_id", col("kind").alias("to_target"), col("key").alias("raw"), col("reason").alias("device_reason")), ["case_id", "to_target", "raw"], "left").join(about, "case_id")
-    value, broken = C.to_decimal(col("to_voltage"))
-    fits = C.voltage_accepted(value, col("nominal"))
-    bus, station = col("to_target") == "BUS", col("to_target") == "STATION"
-    gear = col("to_target").isin("SWITCH", "TRANSFORMER")
-    why = _first(
-        (absent(col("raw")), "MISSING_REFERENCE"), (col("to_kinds").isNull(), "UNRESOLVED_REFERENCE"), (col("to_kinds") > 1, "AMBIGUOUS_REFERENCE"), (~col("to_sole"), "IDENTITY_NOT_UNIQUE"), (col("conflict"), "NAME_VOLTAGE_CONFLICT"),
-        (bus & (broken.isNotNull() | (value <= 0)), "INVALID_VOLTAGE_EVIDENCE"), (bus & value.isNotNull() & ~fits, "BUS_VOLTAGE_CONFLICT"), (station & (col("side") != 1), "STATION_DIRECTION"), (station & col("head").isNull(), "NO_FEEDER_HEAD"),
-        (station & ~F.coalesce(col("head_station") == col("raw"), F.lit(False)), "STATION_CHAIN_MISMATCH"), (col("to_target") == "ACCESS_POINT", "ACCESS_POINT_UNSUPPORTED"),
-    )
-    place = F.when(bus, F.concat(F.lit("bus:"), "raw")).when(station, col("head")).when(col("to_target") == "SWITCH", F.concat(F.lit("switch:"), "raw", F.when(col("side") == 2, ":in").otherwise(":out"))).otherwise(F.concat(F.lit("transformer:"), "raw"))
-    e = e.withColumn("reason", F.coalesce(why, F.when(gear, col("device_reason"))))
-    e = t.save(e.select("case_id", "record", "entity_id", "side", "raw", "nominal", col("to_target").alias("target"), "reason", F.when(col("reason").isNull(), place).alias("node")))
-
-    # Lines.
-    both = e.groupBy("case_id", "record").agg(F.count("reason").alias("excluded"), *(F.max(F.when(col("side") == n, col("node"))).alias(f"node{n}") for n in (1, 2)))
-    whole = line.where("entity_id is not null or end1 is not null or end2 is not null").join(both, ["case_id", "record"])
-    whole = t.save(whole.withColumn("reason", _first((~col("unique") | ~col("once"), "IDENTITY_NOT_UNIQUE"), (col("excluded") > 0, "LINE_ENDPOINT_EXCLUDED"))))
+    why_device = device.select("case_id", col("kind").alias("target"), col("key").alias("raw"), col("reason").alias("device_reason"))
+    target = t.save(ids.join(why_device, ["case_id", "target", "raw"], "left"))
+    whole = line.join(about.select("case_id", "nominal", "conflict", "head", "head_station"), "case_id")
+    for n in (1, 2):
+        to = target.select("case_id", col("raw").alias(f"end{n}"), F.struct("kinds", "target", "sole", "voltage", "device_reason").alias("to"))
+        whole = whole.join(to, ["case_id", f"end{n}"], "left").withColumn(f"reason{n}", _end_reason(col(f"end{n}"), n)).withColumn(f"target{n}", col("to.target"))
+        whole = whole.withColumn(f"node{n}", F.when(col(f"reason{n}").isNull(), _place(col(f"end{n}"), n))).drop("to")
+    whole = t.save(whole.drop("conflict", "head", "head_station"))
+    e = whole.select("case_id", "record", "nominal", F.explode(F.array(*(F.struct(F.lit(n).alias("side"), col(f"end{n}").alias("raw"), col(f"target{n}").alias("target"), col(f"reason{n}").alias("reason"), col(f"node{n}").alias("node")) for n in (1, 2)))).alias("e")).select("case_id", "record", "nominal", "e.*")
+
+    # Lines.  Rows of one record share their ends, as all rows of it say together what it joins.
+    shared = several(whole, "record")
+    both = whole.join(shared, ["case_id", "record"], "left_semi").groupBy("case_id", "record").agg(F.max(col("reason1").isNotNull() | col("reason2").isNotNull()).alias("all_excluded"), F.max("node1").alias("all_node1"), F.max("node2").alias("all_node2"), F.lit(True).alias("more"))
+    whole = whole.where("entity_id is not null or end1 is not null or end2 is not null").join(t.save(both), ["case_id", "record"], "left")
+    excluded = F.when(col("more"), col("all_excluded")).otherwise(col("reason1").isNotNull() | col("reason2").isNotNull())
+    whole = whole.select("case_id", "record", "entity_id", _first((~col("unique") | ~col("once"), "IDENTITY_NOT_UNIQUE"), (excluded, "LINE_ENDPOINT_EXCLUDED")).alias("reason"), *(F.when(col("more"), col(f"all_node{n}")).otherwise(col(f"node{n}")).alias(f"node{n}") for n in (1, 2)))
 
     side = F.lit(None).cast("int")
     said = lambda df, rule, owner, side=side: df.select("case_id", rule.alias("rule"), owner.alias("owner"), side.alias("side"), status_of(col("reason")).alias("status"), "reason")

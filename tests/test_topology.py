@@ -64,3 +64,14 @@ def test_what_a_stage_rejects(spark):
     for i, (*_, decision, reason, n) in enumerate(CHANGES):
         assert (i, why[(i, *decision)], reached.get(i, 0)) == (i, reason, n)
     assert all((r.reason is None) == (r.status == "PROJECTED") for r in said)
+
+
+def test_lines_are_written_once(spark, monkeypatch):
+    """Beside the accounts, written tables hold each line once: neither its ends nor what is repeated nowhere are written again."""
+    made, save = [], topology.Tables.save
+    monkeypatch.setattr(topology.Tables, "save", lambda self, df: made.append(save(self, df)) or made[-1])
+    lines = spark.range(300).selectExpr("id % 3 AS case_id", "'LINE' AS kind", "concat('l', id) AS record", "concat('l', id) AS entity_id", "true AS unique", "'' AS name", "concat('b', id % 30) AS end1", "concat('b', id % 29) AS end2", "'' AS state", "'' AS voltage")
+    cases = spark.range(3).selectExpr("id AS case_id", "'10 kV' AS name", "cast(10.5 AS decimal(38, 18)) AS fallback")
+    got = topology.interpret(lines, cases)
+    assert sum(df.count() for df in made) <= 2 * 300 + 2 * 3
+    assert got.decisions.where("rule = 'LINE_END'").count() == 600 and got.decisions.where("rule = 'LINE' and reason = 'LINE_ENDPOINT_EXCLUDED'").count() == 300
