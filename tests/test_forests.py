@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from skein.operators import forests, graphs, overlays
 from skein.operators.tables import Tables
@@ -222,3 +223,18 @@ def test_closures_by_seed(spark):
     assert [x for x in told(0) if x[0] == "a"] == [("a", "b", 1, True)]
     with pytest.raises(ValueError):
         graphs.closure(seeds, ways, -1)
+
+
+def test_branches_are_worked_out_once(spark, monkeypatch):
+    """Queries that use their branches twice give operators a written table, so line items meet their orders once; and they meet no customers, as orders do."""
+    from skein.plans import catalogue, networks
+
+    d, given = "/root/testdata/sf0.001", []
+    monkeypatch.setattr(networks.forests, "blocked_edges", lambda edges, heads, targets: given.extend((edges, targets)))
+    monkeypatch.setattr(networks.forests, "cycle_sizes", lambda edges, order: given.append(edges) or edges.select("case_id", "edge_id", F.lit(1).alias("length")))
+    networks.q75_blocked_edges(spark, d)
+    given.append(networks.q76_fundamental_cycles(spark, d))
+    assert len(given) == 4 and not any("lineitem" in f for df in given for f in df.inputFiles())
+    plan = catalogue.traffic(spark, d)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda name: next(len(line) - len(line.lstrip(" :+-")) for line in plan if "Relation" in line and f"{name}#" in line)
+    assert depth("c_custkey") > depth("l_partkey")
