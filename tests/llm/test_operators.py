@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -374,3 +375,21 @@ def test_language_shards_by_mixed_bits():
     for kind in range(mixing.KINDS):
         got = shards.log10(every, np.full(11, kind), np.zeros(11, np.int64))
         assert abs((10**got).sum() - 1) < 1e-6
+
+
+def test_language_follows_in_little_memory():
+    """A shard's answers take a bounded number of bytes for each key asked, whatever the number of keys, as two shards share an executor."""
+    rng, n = np.random.default_rng(8), 1 << 18
+    keys, counted = [], []
+    for _ in range(4):
+        key = np.sort((rng.integers(0, n // 2, n).astype(np.uint64) << np.uint64(24)) | rng.integers(0, 4, n).astype(np.uint64))
+        train = rng.random(n) < 0.8
+        keys.append(mixing._pack_follows(key))
+        counted.append(mixing._pack_counts(train, train * rng.integers(1, 4, n)))
+    tracemalloc.start()
+    try:
+        mixing._answer_follows(keys, counted, mixed=True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 90 * 4 * n
