@@ -1,12 +1,13 @@
 """What projecting more switches would reach: each strategy, and each of its tie groups alone or left out, with its lines derived again.
 
 Components of the base are found once.  A scenario (a strategy and a variant) is a set of additions that joins their labels only, so the work
-follows what the scenarios add, not the scenarios times the base.
+follows what the scenarios add, not the scenarios times the base.  Additions carry the set of their scenarios as the bits of one number, and what holds in all
+scenarios that have a switch (a line from its port to a node of the base, the way through it) is contracted before any scenario is told apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators import decisions, graphs
@@ -42,12 +43,22 @@ def group_states(made: DataFrame, cases: DataFrame) -> DataFrame:
     return every.join(n, key, "left").na.fill(0, ["candidate_count", "projected_count", "conducting_count"])
 
 
-def _chosen(made: DataFrame) -> DataFrame:
-    """Scenarios that project a switch which the base does not have: case_id, strategy, variant, owner, conducting."""
-    own = F.col("tie_group")
-    others = F.transform(F.array_remove(F.array(*map(F.lit, GROUPS)), own), lambda g: F.concat(F.lit("without:"), g))
-    variant = F.explode(F.concat(F.array(F.lit("all"), F.concat(F.lit("only:"), own)), others)).alias("variant")
-    return made.where("projected and not baseline").select("case_id", "strategy", variant, "owner", "conducting")
+def _bits(strategy: Column, group: Column) -> Column:
+    """The scenarios of a strategy that have a switch of a tie group: bit number strategy * len(VARIANTS) + variant."""
+    of_group = F.lit(0).cast("long")
+    for g in GROUPS:
+        has = [v == "all" or v == f"only:{g}" or (v.startswith("without:") and v != f"without:{g}") for v in VARIANTS]
+        of_group = F.when(group == g, F.lit(sum(1 << i for i, x in enumerate(has) if x)).cast("long")).otherwise(of_group)
+    out = F.lit(0).cast("long")
+    for i, name in enumerate(decisions.STRATEGIES):
+        out = F.when(strategy == name, F.shiftleft(of_group, i * len(VARIANTS))).otherwise(out)
+    return out
+
+
+def _scenarios(bits: Column) -> Column:
+    """The numbers of the scenarios in a set, as an array."""
+    every = F.array(*map(F.lit, range(len(decisions.STRATEGIES) * len(VARIANTS))))
+    return F.filter(every, lambda i: F.call_function("getbit", bits, i) == 1)
 
 
 def port(owner: Column, side: Column) -> Column:
@@ -55,61 +66,77 @@ def port(owner: Column, side: Column) -> Column:
     return F.concat(F.lit("added:"), owner, F.when(side == 2, ":in").otherwise(":out"))
 
 
-def derived_lines(lines: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Lines that stand in a scenario with a switch that it adds: case_id, strategy, variant, line, a, b.
+def _additions(t: Tables, lines: DataFrame, chosen: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What switches add: edges (case_id, a, b, bits) between labels of the base, ports that have none counting as such, and nodes with a line of their own
+    (case_id, node, bits).
 
     Lines: case_id, line, node1, node2 (what the base has there), target1, target2 (the switch named there exactly, only where the base has no node).  A line
-    stands if both ends have a node or a chosen switch; ends are matched one by one, so a line between two added switches needs both.
+    stands if both ends have a node or a chosen switch, so a line between two added switches needs both.  A port with lines to nodes of the base is one
+    with the least of their labels wherever its switch is added, and the ports of a switch that always conducts are one if only one of them has such a line.
     """
-    ends = F.array(*(F.struct(F.lit(n).alias("side"), F.col(f"target{n}").alias("owner")) for n in (1, 2)))
-    at = lines.select("case_id", "line", "node1", "node2", F.explode(ends).alias("end")).select("case_id", "line", "node1", "node2", "end.*").where("owner is not null")
-    met = at.join(chosen.drop("conducting"), ["case_id", "owner"])
-    place = port(F.col("owner"), F.col("side"))
-    node = lambda n: F.coalesce(F.max(F.when(F.col("side") == n, place)), F.max(f"node{n}"))
-    return met.groupBy(*_KEY, "line").agg(node(1).alias("a"), node(2).alias("b")).where("a is not null and b is not null")
-
-
-def _lift(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    for side in ("a", "b"):
-        named = labels.select("case_id", F.col("node").alias(side), F.col("component").alias(f"label_{side}"))
-        edges = edges.join(named, ["case_id", side], "left").withColumn(side, F.coalesce(f"label_{side}", side)).drop(f"label_{side}")
-    return edges
+    col = F.col
+    switches = chosen.where("owner is not null").groupBy("case_id", "owner").agg(F.bit_or("bits").alias("bits"), F.bit_or(F.when(col("conducting"), col("bits")).otherwise(0)).alias("live"))
+    half = [lines.where(f"node{m} is not null and node{n} is null and target{n} is not null").select("case_id", col(f"target{n}").alias("owner"), F.lit(n).alias("side"), col(f"node{m}").alias("node")) for n, m in ((1, 2), (2, 1))]
+    half = half[0].unionByName(half[1]).join(labels, ["case_id", "node"], "left").select("case_id", "owner", "side", F.coalesce("component", "node").alias("label"))
+    # All about a switch meets in one shuffle: itself (side 0), and its lines to nodes of the base.
+    of = Window.partitionBy("case_id", "owner")
+    met = half.unionByName(switches.withColumn("side", F.lit(0)), allowMissingColumns=True)
+    met = met.select("case_id", "owner", "side", "label", F.max("bits").over(of).alias("bits"), F.max("live").over(of).alias("live"), *(F.min(F.when(col("side") == n, col("label"))).over(of).alias(f"at{n}") for n in (1, 2))).where("case_id is not null and bits is not null")
+    own = {n: port(col("owner"), F.lit(n)) for n in (1, 2)}
+    whole = F.when(col("live") == col("bits"), F.coalesce("at1", "at2", own[2]))
+    met = t.save(met.select("case_id", "owner", "side", "label", "bits", "live", *(F.coalesce(f"at{n}", whole, own[n]).alias(f"at{n}") for n in (1, 2))))
+    added = met.where("side = 0").select("case_id", "owner", "bits", "live", "at1", "at2")
+    end = lambda n: added.select("case_id", col("owner").alias(f"target{n}"), col(f"at{n}").alias("ab"[n - 1]), col("bits").alias(f"bits{n}"))
+    both = lines.where("node1 is null and node2 is null and target1 is not null and target2 is not null").select("case_id", "target1", "target2")
+    both = both.join(end(1), ["case_id", "target1"]).join(end(2), ["case_id", "target2"]).select("case_id", "a", "b", col("bits1").bitwiseAND(col("bits2")).alias("bits")).where("bits <> 0")
+    both = t.save(both)
+    side = F.when(col("side") == 1, col("at1")).otherwise(col("at2"))
+    edges = met.where("side > 0").select("case_id", col("label").alias("a"), side.alias("b"), "bits").unionByName(added.where("live <> 0").select("case_id", col("at1").alias("a"), col("at2").alias("b"), col("live").alias("bits"))).unionByName(both)
+    edges = edges.where("a <> b").groupBy("case_id", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.bit_or("bits").alias("bits"))
+    lined = met.where("side > 0").select("case_id", col("label").alias("node"), "bits").unionByName(both.select("case_id", col("a").alias("node"), "bits"))
+    return edges, lined.groupBy("case_id", "node").agg(F.bit_or("bits").alias("bits"))
 
 
 def coverage(cases: DataFrame, heads: DataFrame, targets: DataFrame, branches: DataFrame, lines: DataFrame, made: DataFrame) -> DataFrame:
     """For each case, strategy and variant: switches projected, conducting and excluded, whether there is a head, whether it reaches a line, transformers reached.
 
     Cases: case_id, total_switches; heads and targets (transformers): case_id, node; branches of the base: case_id, kind (line or switch), a, b,
-    conducting; lines that are no branches: as in ``derived_lines``, of unique identity and two ends; made: as ``judged`` gives it.  Identities are unique by case.
+    conducting; lines that are no branches: as in ``_additions``, of unique identity and two ends; made: as ``judged`` gives it.  Identities are unique by case.
 
     A line whose both ends have nodes stands in every scenario.  Of cases only those in ``cases`` are reported; one without a head reaches nothing.  Null case_ids join
     nothing.
     """
     t = Tables(cases.sparkSession)
-    chosen = t.save(_chosen(made))
+    col = F.col
+    chosen = made.where("projected and not baseline").select("case_id", "strategy", "tie_group", "owner", "conducting", _bits(col("strategy"), col("tie_group")).alias("bits"))
     standing = lines.where("node1 is not null and node2 is not null").select("case_id", F.lit("line").alias("kind"), F.col("node1").alias("a"), F.col("node2").alias("b"), F.lit(True).alias("conducting"))
     base = t.save(branches.select("case_id", "kind", "a", "b", F.coalesce("conducting", F.lit(False)).alias("conducting")).unionByName(standing))
     live = base.where("conducting")
     labels = graphs.components(live.select("case_id", "a", "b"))
+    edges, joined = _additions(t, lines, chosen, labels)
 
-    # Of each component of the base: its transformers, and whether it has a line.
+    # Of each component of the base: its transformers, whether it has a line, and the scenarios that bring it one.
     label = lambda df: df.join(labels, ["case_id", "node"], "left").select("case_id", F.coalesce("component", "node").alias("node"))
-    worth = label(targets.select("case_id", "node").distinct()).withColumn("target", F.lit(1)).withColumn("lined", F.lit(False))
-    worth = worth.unionByName(label(live.where("kind = 'line'").select("case_id", F.col("a").alias("node"))).withColumn("target", F.lit(0)).withColumn("lined", F.lit(True)))
-    worth = worth.groupBy("case_id", "node").agg(F.sum("target").alias("targets"), F.max("lined").alias("lined"))
+    none = F.lit(0).cast("long")
+    worth = label(targets.select("case_id", "node").distinct()).select("case_id", "node", F.lit(1).alias("target"), F.lit(False).alias("lined"), none.alias("bits"))
+    worth = worth.unionByName(label(live.where("kind = 'line'").select("case_id", F.col("a").alias("node")).distinct()).select("case_id", "node", F.lit(0).alias("target"), F.lit(True).alias("lined"), none.alias("bits")))
+    worth = worth.unionByName(joined.select("case_id", "node", F.lit(0).alias("target"), F.lit(False).alias("lined"), "bits"))
+    worth = worth.groupBy("case_id", "node").agg(F.sum("target").alias("targets"), F.max("lined").alias("lined"), F.bit_or("bits").alias("joined"))
 
-    added = _lift(derived_lines(lines, chosen).select(*_KEY, "a", "b"), labels)
-    added = t.save(added.withColumn("kind", F.lit("line")).unionByName(chosen.where("conducting").select(*_KEY, port(F.col("owner"), F.lit(2)).alias("a"), port(F.col("owner"), F.lit(1)).alias("b"), F.lit("switch").alias("kind"))))
-    key = F.struct(*_KEY).alias("case_id")
     every = cases.select("case_id", "total_switches").withColumn("strategy", F.explode(F.array(*map(F.lit, decisions.STRATEGIES)))).withColumn("variant", F.explode(F.array(*map(F.lit, VARIANTS))))
-    starts = t.save(every.join(label(heads.select("case_id", "node").distinct()), "case_id").select(*_KEY, "node"))
-    seen = graphs.reached(starts.select(key, "node"), added.select(key, "a", "b")).select("case_id.*", "node")
-    lined = added.where("kind = 'line'").select(*_KEY, F.col("a").alias("node"), F.lit(True).alias("joined")).distinct()
-    seen = seen.join(worth, ["case_id", "node"], "left").join(lined, [*_KEY, "node"], "left")
-    found = seen.groupBy(*_KEY).agg(F.sum(F.coalesce("targets", F.lit(0))).alias("reachable_transformers"), F.max(F.coalesce(F.col("lined"), F.lit(False)) | F.coalesce(F.col("joined"), F.lit(False))).alias("usable"))
+    added = t.save(edges.select("case_id", "a", "b", F.explode(_scenarios(col("bits"))).alias("scenario")))
+    starts = t.save(cases.select("case_id").distinct().join(label(heads.select("case_id", "node").distinct()), "case_id").select("case_id", "node").distinct())
+    starts = starts.withColumn("scenario", F.explode(F.array(*map(F.lit, range(len(decisions.STRATEGIES) * len(VARIANTS))))))
+    key = F.struct("case_id", "scenario").alias("case_id")
+    seen = graphs.reached(starts.select(key, "node"), added.select(key, "a", "b")).select("case_id.*", "node").join(worth, ["case_id", "node"])
+    found = seen.groupBy("case_id", "scenario").agg(F.sum("targets").alias("reachable_transformers"), F.max(col("lined") | (F.call_function("getbit", col("joined"), col("scenario")) == 1)).alias("usable"))
+    name = lambda names, n: F.element_at(F.array(*map(F.lit, names)), n.cast("int") + 1)
+    found = found.select("case_id", name(decisions.STRATEGIES, F.floor(col("scenario") / len(VARIANTS))).alias("strategy"), name(VARIANTS, col("scenario") % len(VARIANTS)).alias("variant"), "reachable_transformers", "usable")
 
     had = base.where("kind = 'switch'").groupBy("case_id").agg(F.count("*").alias("had"), F.count_if("conducting").alias("had_conducting"))
-    more = chosen.groupBy(*_KEY).agg(F.count("*").alias("more"), F.count_if("conducting").alias("more_conducting"))
+    more = chosen.groupBy("case_id", "strategy", "bits").agg(F.count("*").alias("more"), F.count_if("conducting").alias("more_conducting"))
+    more = more.select("case_id", "strategy", "more", "more_conducting", F.explode(_scenarios(col("bits"))).alias("scenario")).withColumn("variant", name(VARIANTS, col("scenario") % len(VARIANTS)))
+    more = more.groupBy(*_KEY).agg(F.sum("more").alias("more"), F.sum("more_conducting").alias("more_conducting"))
     headed = heads.select("case_id", F.lit(True).alias("headed")).distinct()
     out = every.join(had, "case_id", "left").join(more, _KEY, "left").join(headed, "case_id", "left").join(found, _KEY, "left").na.fill(0, ["had", "had_conducting", "more", "more_conducting", "reachable_transformers"])
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("long")

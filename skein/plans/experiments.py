@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.operators import experiments as X
+from skein.operators.tables import Tables
 from skein.plans.catalogue import _t, query
 
 
@@ -17,7 +18,8 @@ def _sources(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     node = lambda k: F.concat(F.lit("n"), k.cast("string"))
     o = _t(spark, d, "orders").where("o_orderpriority = '1-URGENT' and o_custkey >= 20")
     o = o.select((col("o_custkey") % 20).alias("case_id"), col("o_orderkey").alias("key"), node(col("o_custkey")).alias("near"), node(F.expr("o_custkey - 20 * (1 + o_orderkey % (o_custkey div 20))")).alias("far"), F.expr("decode(o_orderstatus, 'F', 'CLOSED', 'O', 'OPEN', 'UNKNOWN')").alias("state"), F.expr("lead(o_orderkey) over (partition by o_custkey order by o_orderkey)").alias("next"))
-    o = o.withColumn("baseline", col("key") % 11 == 0)
+    # Written once: cases, branches, lines and candidates all read the orders, and only one of them asks for the next.
+    o = Tables(spark).save(o.withColumn("baseline", col("key") % 11 == 0))
     inner = lambda key, side: F.concat(F.lit("s"), key.cast("string"), F.lit(side))
     own = col("key").cast("string")
     at = lambda key, side: F.when(key % 11 == 0, inner(key, side))

@@ -105,3 +105,17 @@ def test_no_candidates_and_no_rows(spark):
     assert {tuple(r[3:]) for r in got.collect()} == {(0, 0, 0, 1, 0, 0, 0)}
     none, _ = _run(spark, [], [], [], [], [], [])
     assert none.count() == 0 and made.count() == 0
+
+
+def test_scenarios_take_an_edge_for_a_switch(spark, monkeypatch):
+    """Ports and lines to nodes of the base are contracted before scenarios are told apart: a closed switch is one edge in each that has it, an open one none."""
+    asked, reached = [], X.graphs.reached
+    monkeypatch.setattr(X.graphs, "reached", lambda heads, edges: asked.append(edges.count()) or reached(heads, edges))
+    candidates = [(1, f"s{i}", False, True, "UNKNOWN", "CLOSED" if i % 2 else "OPEN", bool(i % 3)) for i in range(20)]
+    lines = [x for i in range(20) for x in ((1, f"l{i}", f"n{i}", None, None, f"s{i}"), (1, f"m{i}", None, f"n{i + 1}", f"s{i}", None))]
+    got, _ = _run(spark, [(1, 20)], [(1, "n1")], [(1, f"n{i}") for i in range(21)], [], lines, candidates)
+    at = {(r.strategy, r.variant): r for r in got.collect()}
+    # n1 and n2 hang together by s1, a tie; every closed switch is in four strategies, and in four variants of each.
+    assert asked == [10 * 4 * 4]
+    assert [at["S1", v].reachable_transformers for v in ("all", "only:tie", "without:tie")] == [2, 2, 1] and at["S0", "all"].reachable_transformers == 1
+    assert at["S1", "without:tie"].cases_with_usable_subgraph == 1 and at["S1", "only:unknown_type"].cases_with_usable_subgraph == 0
