@@ -112,7 +112,11 @@ def assembled(made: DataFrame) -> DataFrame:
 def terminals(done: DataFrame) -> DataFrame:
     """Terminals of published equipment, numbered from 1: equipment_id, terminal_no, terminal_id, raw_ref, ref_status (MISSING or UNRESOLVED, as nothing is resolved yet)."""
     flat = done.where("published").select("archive", "case_key", "kind", "source_id", "equipment_id", F.posexplode("ends").alias("n", "raw_ref")).withColumn("terminal_no", F.col("n") + 1).drop("n")
-    return flat.withColumn("terminal_id", _terminal("terminal_no")).withColumn("ref_status", F.when(F.col("raw_ref").isNull(), "MISSING").otherwise("UNRESOLVED"))
+    return flat.withColumn("terminal_id", _terminal("terminal_no")).withColumn("ref_status", _ref_status())
+
+
+def _ref_status() -> Column:
+    return F.when(F.col("raw_ref").isNull(), "MISSING").otherwise("UNRESOLVED")
 
 
 def _terminal(number: str) -> Column:
@@ -121,7 +125,17 @@ def _terminal(number: str) -> Column:
 
 def windings(done: DataFrame) -> DataFrame:
     """Two windings of each published transformer, each at the terminal of its number."""
-    flat = done.where("published").select("archive", "case_key", "source_id", "equipment_id", F.inline("windings"))
+    return _windings(done.where("published and kind = 'TRANSFORMER'").select("archive", "case_key", "source_id", "equipment_id", F.inline("windings")))
+
+
+def windings_at(done: DataFrame) -> DataFrame:
+    """``windings`` with the details of their transformer and the raw_ref and ref_status of their terminal, which stand in the same row: nothing is joined."""
+    own = done.where("published and kind = 'TRANSFORMER'").select("archive", "case_key", "source_id", "equipment_id", "transformer", "ends", F.inline("windings"))
+    own = own.where(F.col("winding_no") <= F.size("ends")).withColumn("raw_ref", F.get("ends", F.col("winding_no") - 1)).drop("ends")
+    return _windings(own.withColumn("ref_status", _ref_status()))
+
+
+def _windings(flat: DataFrame) -> DataFrame:
     return flat.withColumn("winding_id", C.content_id("winding", F.col("equipment_id"), F.col("winding_no"))).withColumn("terminal_id", _terminal("winding_no"))
 
 

@@ -31,11 +31,9 @@ t AS (SELECT *, CASE WHEN source_id IS NULL THEN NULL WHEN u % 3 = 2 OR n = 1 TH
 CASE w WHEN 1 THEN CASE WHEN u % 7 <> 0 THEN 'b' || (u % 10) END ELSE CASE WHEN u % 11 = 0 THEN '0' ELSE 'c' || u END END AS raw_ref, CASE WHEN w = 1 AND u % 7 = 0 THEN 'MISSING' ELSE 'UNRESOLVED' END AS ref_status, (u % 40 - 2)::DOUBLE AS rated_capacity_kva
 FROM t, (SELECT unnest([1, 2]) AS w) WHERE status = 'UNIQUE' OR (status = 'DUPLICATE_IDENTICAL' AND key = first)""")
 def q97_equipment_windings(spark, d):
-    done = E.assembled(E.mapped(_rows(spark, d)))
-    at = E.terminals(done).where("kind = 'TRANSFORMER'").select("terminal_id", "raw_ref", "ref_status")
-    rated = done.where("published and kind = 'TRANSFORMER'").select("equipment_id", F.col("transformer.rated_capacity_kva").cast("double").alias("rated_capacity_kva"))
-    out = E.windings(done).join(at, "terminal_id").join(rated, "equipment_id")
-    return out.select("case_key", "source_id", "winding_no", F.col("rated_voltage_kv").cast("double").alias("rated_voltage_kv"), "connection", "raw_ref", "ref_status", "rated_capacity_kva")
+    out = E.windings_at(E.assembled(E.mapped(_rows(spark, d))))
+    rated = F.col("transformer.rated_capacity_kva").cast("double").alias("rated_capacity_kva")
+    return out.select("case_key", "source_id", "winding_no", F.col("rated_voltage_kv").cast("double").alias("rated_voltage_kv"), "connection", "raw_ref", "ref_status", rated)
 
 
 @query(f"""WITH {_EQUIPMENT}, found AS (

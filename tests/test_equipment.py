@@ -1,5 +1,7 @@
 """Rows of all kinds become equipment, terminals, details and windings; repeated and conflicting ids, and what is wrong with a field, stay visible."""
 
+from pyspark.sql import functions as F
+
 from skein.operators import equipment as E
 
 RAW = "archive string, case_key string, member string, data_row long, record_ref string, fields array<string>, diagnostic string"
@@ -59,3 +61,16 @@ def test_repeated_ids(spark):
 def test_no_rows(spark):
     done = E.assembled(E.mapped(spark.createDataFrame([], RAW)))
     assert done.count() == E.terminals(done).count() == E.windings(done).count() == E.issues(done).count() == 0
+
+
+def test_windings_meet_their_terminals_without_a_join(spark):
+    """Windings with their terminals and details are what joining them gives, and read the assembled rows once."""
+    other = ["t2", "", "b", "", "0", "10", "x", "1", "2", "D", "yn", "3", "r"]
+    rows = _rows(spark, ("TRANSFORMER", TRANSFORMER, None), ("TRANSFORMER", TRANSFORMER, None), ("TRANSFORMER", other, None), ("TRANSFORMER", ["t3", *other[1:]], None), ("TRANSFORMER", ["t3", *TRANSFORMER[1:]], None), ("LINE", ["l1", "a", "b", "", "", "m", "0", "1", "2", "1.5"], None))
+    done = E.assembled(E.mapped(rows)).localCheckpoint()
+    at = E.terminals(done).select("terminal_id", "raw_ref", "ref_status")
+    rated = done.select("equipment_id", "transformer.rated_capacity_kva").distinct()
+    want = E.windings(done).join(at, "terminal_id").join(rated, "equipment_id")
+    got = E.windings_at(done).withColumn("rated_capacity_kva", F.col("transformer.rated_capacity_kva")).select(want.columns)
+    assert got.count() == 4 and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
