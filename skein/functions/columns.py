@@ -72,4 +72,7 @@ def first_reason(*gates: tuple[Column, str], default: str) -> Column:
 
 def all_reasons(*gates: tuple[Column, str]) -> Column:
     """Sorted distinct reasons of all gates that hold."""
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*(F.when(c, F.lit(r)) for c, r in gates)))))
+    holds: dict[str, Column] = {}
+    for condition, reason in gates:
+        holds[reason] = holds[reason] | condition if reason in holds else condition
+    return F.array_compact(F.array(*(F.when(holds[r], F.lit(r)) for r in sorted(holds))))

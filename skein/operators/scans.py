@@ -25,11 +25,30 @@ def may_hold(filter_: Column, name: Column, bits: int) -> Column:
     """Whether a Bloom filter may hold a name; names that it was made of always pass."""
     out = F.lit(True)
     for at in _places(name, bits):
-        word = F.get(filter_, F.floor(at / 64).cast("int"))
+        word = F.get(filter_, F.shiftright(at, 6).cast("int"))
         out = out & (F.call_function("shiftrightunsigned", word, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1)
     return out
 
 
+def bits_for(n: int) -> int:
+    """Bits of a filter of ``n`` names: a power of two that follows their number, up to a bound."""
+    return min(MOST_BITS, max(64, 1 << (n * BITS_EACH - 1).bit_length()))
+
+
+def possible(rows: DataFrame, keys: list[list[str]], wanted: DataFrame, n: int) -> DataFrame:
+    """Rows of which a key (texts by column names) may be among the ``n`` rows of ``wanted``: all where one is, and few others, which a join has to tell."""
+    if not n:
+        return rows.where(F.lit(False))
+    bits = bits_for(n)
+    key = lambda cs: F.xxhash64(*(F.col(c).cast("string") for c in cs))
+    filter_, held = bloom_filter(wanted.select(key(wanted.columns).alias("name")), bits).scalar(), F.lit(False)
+    # A generated column is worked out once a row; a plain one would be, with the texts it is made of, at each place of the filter.
+    hashed = rows.select("*", F.explode(F.array(F.struct(*(key(cs).alias(f"k{i}") for i, cs in enumerate(keys))))).alias("_hashes"))
+    for i in range(len(keys)):
+        held = held | may_hold(filter_, F.col(f"_hashes.k{i}"), bits)
+    return hashed.where(held).drop("_hashes")
+
+
 def wanted_definitions(rows: DataFrame, pattern: str, wanted: DataFrame) -> DataFrame:
     """Names that rows (case_id, record, raw text) define, restricted to a wanted set: name, case_id, n_records, first_record.
 
@@ -37,7 +56,7 @@ def wanted_definitions(rows: DataFrame, pattern: str, wanted: DataFrame) -> Data
     wanted names alone, however many others there are.  The filter's size follows the set's, counted first, up to a bound.
     """
     names = wanted.select("name").where("name is not null").distinct()
-    bits = min(MOST_BITS, max(64, 1 << (names.count() * BITS_EACH - 1).bit_length()))
+    bits = bits_for(names.count())
     found = rows.select("case_id", "record", F.explode(F.array_distinct(F.regexp_extract_all("raw", F.lit(pattern), F.lit(0)))).alias("name"))
     held = found.where(may_hold(bloom_filter(names, bits).scalar(), F.col("name"), bits))
     return held.join(names, "name", "left_semi").groupBy("name", "case_id").agg(F.count_distinct("record").alias("n_records"), F.min("record").alias("first_record"))

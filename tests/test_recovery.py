@@ -2,7 +2,8 @@
 
 import random
 
-from skein.operators import graphs, recovery
+from skein.operators import graphs, recovery, scans
+from skein.plans import networks
 
 ACCOUNT = "case_id int, kind string, record string, entity_id string, unique boolean, end1 string, end2 string, state string, tie string, voltage string"
 
@@ -76,3 +77,40 @@ def test_a_leaf_may_name_nothing_remote(spark):
     (got, lines), (other, none) = _judge(spark, [(leaf, {}), (remote, {})])
     assert (got["s"].family, got["s"].status, lines) == (recovery.LEAF, "ACCEPTED", [("in", "node-a", "s:in", 1)])
     assert (other["s"].reasons, none) == (["REMOTE_ENDPOINT_NOT_EMPTY"], [])
+
+
+def test_lines_of_a_device_are_counted_by_name(spark):
+    """Rows that share a name count once at a device, whichever of identity and record the name is, and so does a line of which both ends name it."""
+    r = random.Random(5)
+    rows = [(r.randrange(3), "LINE", r.choice(["x1", "x2", f"r{i}"]), r.choice([None, "", f"l{i % 40}", f"l{i}"]), True, r.choice(["d0", "d1", "d2", "b", ""]), r.choice(["d0", "d1", "d2", None]), None, None, None) for i in range(300)]
+    rows += [(c, "SWITCH", f"r-{k}", k, True, "b", "", "Open", "false", None) for c in range(3) for k in ("d0", "d1", "d2", "d3")]
+    cases = spark.createDataFrame([(c, None, True, False) for c in range(3)], "case_id int, hard array<string>, headed boolean, malformed boolean").selectExpr("*", "cast(10.5 as decimal(38,18)) as nominal")
+    judged = recovery.candidates(spark.createDataFrame(rows, ACCOUNT), cases, spark.createDataFrame([], "case_id int, kind string, entity_id string"))
+    want = {(c, k): {line[3] or line[2] for line in rows if line[0] == c and line[1] == "LINE" and k in line[5:7]} for c in range(3) for k in ("d0", "d1", "d2", "d3")}
+    assert {(g.case_id, g.key): g.n_lines for g in judged.collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_a_filter_lets_all_wanted_keys_pass(spark):
+    rows = spark.range(2000).selectExpr("id % 7 as case_id", "cast(id as string) as a", "case when id % 3 = 0 then cast(id + 1 as string) end as b")
+    wanted = spark.createDataFrame([(3, "3"), (4, "4"), (1, "1000")], "case_id int, key string")
+    got = {r.a for r in scans.possible(rows, [["case_id", "a"], ["case_id", "b"]], wanted, 3).collect()}
+    assert {"3", "4"} <= got and len(got) < 200
+    assert not scans.possible(rows, [["case_id", "a"]], wanted.where("false"), 0).count()
+
+
+def _stages(spark) -> dict[int, int]:
+    """Bytes that each stage has written to shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+
+def test_lines_are_dealt_once_by_name_and_once_by_ends(spark, tmp_path):
+    """What is shuffled for a line stays small: texts are summed up before devices meet them, and lines follow after a filter of the accepted few."""
+    d = "/root/testdata/sf0.01"
+    n = spark.read.parquet(f"{d}/lineitem.parquet").count()
+    for q in (networks.q86_recovered_lines,):
+        last = max(_stages(spark))
+        q(spark, d).write.parquet(str(tmp_path / q.__name__))
+        assert sum(b for k, b in _stages(spark).items() if k > last) < 80 * n, q.__name__
