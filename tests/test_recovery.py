@@ -110,7 +110,7 @@ def test_lines_are_dealt_once_by_name_and_once_by_ends(spark, tmp_path):
     """What is shuffled for a line stays small: texts are summed up before devices meet them, and lines follow after a filter of the accepted few."""
     d = "/root/testdata/sf0.01"
     n = spark.read.parquet(f"{d}/lineitem.parquet").count()
-    for q in (networks.q86_recovered_lines,):
+    for q in (networks.q86_recovered_lines, networks.q85_recovery_candidates):
         last = max(_stages(spark))
         q(spark, d).write.parquet(str(tmp_path / q.__name__))
         assert sum(b for k, b in _stages(spark).items() if k > last) < 80 * n, q.__name__
